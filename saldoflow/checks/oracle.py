@@ -209,9 +209,9 @@ conciliado AS (
 PRORATED_SQL = """
 prorrateo AS (
   SELECT s.fecha_corte, s.uc, s.sub, s.columna, CAST(s.valor AS DECIMAL(38,2)) AS valor,
-         CAST(s.valor AS DOUBLE) * 100 / CAST(r.valor_formato AS DOUBLE) AS pct,
+         CAST(s.valor AS DOUBLE) * 100 / nullif(CAST(r.valor_formato AS DOUBLE), 0) AS pct,
          CAST(r.valor_diferencia AS DOUBLE)
-           * (CAST(s.valor AS DOUBLE) * 100 / CAST(r.valor_formato AS DOUBLE)) / 100 AS parte,
+           * (CAST(s.valor AS DOUBLE) * 100 / nullif(CAST(r.valor_formato AS DOUBLE), 0)) / 100 AS parte,
          CASE WHEN s.sub = '065'
               THEN CAST((r.valor_contable - r.valor_formato) + s.valor AS DECIMAL(38,2)) END AS valor_ajustado
   FROM por_segmento s
@@ -247,10 +247,224 @@ ORACLE["reconciliation"] = _with(*REPORT, final="SELECT * FROM conciliado")
 ORACLE["proration"] = _with(
     *REPORT,
     final="""SELECT fecha_corte, uc, sub, columna, valor, round(pct, 4) AS porcentaje_prorateo,
-                    round(parte, 4) AS valor_prorateo,
+                    CASE WHEN round(parte, 4) = 0 THEN 0.0 ELSE round(parte, 4) END AS valor_prorateo,
                     round(CAST(valor AS DOUBLE) + parte, 4) AS valor_sfc, valor_ajustado
              FROM prorrateo""",
 )
 ORACLE["final_report_multi_cut"] = _with(
     *REPORT, final=f"SELECT fecha_corte, uc, sub, columna, {FINAL_VALUE} AS valor FROM prorrateo"
 )
+
+# --- single cut, audit, requests, joins, sink -------------------------------------------------------------
+
+CUT = "1997-05-02"
+ONE_CUT_SQL = f"\ncuts AS (SELECT DATE '{CUT}' AS fecha_corte)"
+ONE_CUT_REPORT = tuple(ONE_CUT_SQL if part is shapes.CUTS_SQL else part for part in REPORT)
+
+ORACLE["final_report"] = _with(
+    *ONE_CUT_REPORT, final=f"SELECT uc, sub, columna, {FINAL_VALUE} AS valor FROM prorrateo ORDER BY sub, columna"
+)
+ORACLE["bucket_calendar"] = _with(
+    shapes.CALENDAR_SQL,
+    ONE_CUT_SQL,
+    BACKWARD_SQL,
+    NEXT_SQL,
+    GAP_SQL,
+    BANDS_SQL,
+    final="""SELECT proyeccion, fecha, columna
+             FROM (SELECT * FROM atras UNION ALL SELECT * FROM b4 UNION ALL SELECT * FROM bandas) x""",
+)
+AUDIT = """TIMESTAMP '2001-11-07 22:00:00' AS fecha_proceso,
+           CAST(year(fecha_corte) AS INTEGER) AS anio_particion,
+           CAST(month(fecha_corte) AS INTEGER) AS mes_particion,
+           CAST(day(fecha_corte) AS INTEGER) AS dia_particion"""
+ORACLE["audit_columns"] = _with(
+    *REPORT, final=f"SELECT fecha_corte, uc, sub, columna, {FINAL_VALUE} AS valor, {AUDIT} FROM prorrateo"
+)
+ORACLE["resolve_cut_dates"] = _with(
+    shapes.REQUESTS_SQL,
+    final="""SELECT o_orderkey, solicitud,
+                    strftime(corte, '%Y%m%d') AS fecha_corte, strftime(corte, '%Y-%m-%d') AS fecha_corte_iso,
+                    fecha_calculada, '2001-11-07' AS hoy, '20011106' AS dia_anterior
+             FROM (SELECT o_orderkey, solicitud, hoy AS fecha_calculada,
+                          CASE WHEN hoy THEN DATE '2001-11-07'
+                               WHEN contains(solicitud, '-') THEN CAST(trim(solicitud) AS DATE)
+                               ELSE CAST(strptime(substr(solicitud, 1, 8), '%Y%m%d') AS DATE) END AS corte
+                   FROM (SELECT *, solicitud IS NULL OR trim(solicitud) IN ('', '1900-01-01', '19000101') AS hoy
+                         FROM requests) r) x""",
+)
+ORACLE["audited_totals"] = """
+WITH instituciones AS (
+  SELECT o_orderkey AS id, o_orderstatus AS nombre, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total
+  FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1995-01-31' GROUP BY o_orderkey, o_orderstatus
+),
+resumen AS (
+  SELECT i.id, i.nombre, i.total, count(DISTINCT l.l_suppkey) AS total_auditorias
+  FROM instituciones i LEFT JOIN lineitem l ON l.l_orderkey = i.id
+  GROUP BY i.id, i.nombre, i.total
+)
+SELECT r.id, r.nombre, CAST(r.total AS DECIMAL(38,2)) AS total, r.total_auditorias
+FROM resumen r JOIN lineitem l ON r.id = l.l_orderkey"""
+ORACLE["literal_row"] = _with(
+    shapes.LEDGER_SQL,
+    final=f"""SELECT h.*, g.filas, g.saldo
+              FROM (SELECT CAST(1 AS INTEGER) AS id, 'corte de prueba' AS descripcion, DATE '{CUT}' AS fecha_corte) h
+              LEFT JOIN (SELECT CAST(fecha AS DATE) AS fecha, count(*) AS filas,
+                                CAST(sum(saldo) AS DECIMAL(38,2)) AS saldo
+                         FROM ledger GROUP BY 1) g ON g.fecha = h.fecha_corte""",
+)
+ORACLE["sql_views"] = """
+SELECT o_orderpriority AS prioridad, count(DISTINCT o_custkey) AS clientes,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS monto
+FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1995-01-10'
+GROUP BY o_orderpriority"""
+ORACLE["snapshot_replace"] = _with(
+    shapes.LEDGER_SQL,
+    final=f"""SELECT fecha_corte, uc, saldo, version, {AUDIT}
+              FROM (SELECT CAST(last_day(fecha) AS DATE) AS fecha_corte, uc,
+                           CAST(sum(saldo) AS DECIMAL(38,2)) AS saldo,
+                           CASE WHEN year(min(fecha)) = 1997 THEN 2 ELSE 1 END AS version
+                    FROM ledger WHERE year(fecha) <> 1997 OR month(fecha) IN (3, 6, 9, 12)
+                    GROUP BY last_day(fecha), uc) x""",
+)
+
+# --- query corpus -------------------------------------------------------------------------------------------
+# Cleaning and dates use the engine's own regular expressions; sources, CTE bodies and lineage are spelled out
+# from the way the texts were put together, so they do not depend on any text extraction.
+
+CLEAN_SQL = """
+limpios AS (
+  SELECT query_id, trim(regexp_replace(regexp_replace(regexp_replace(sql_text,
+           '--[^\\n]*', '', 'g'), '(?s)/\\*.*?\\*/', '', 'g'), '\\s+', ' ', 'g')) AS sql_limpio
+  FROM textos
+)"""
+
+DATES_SQL = """
+tokens AS (
+  SELECT query_id, unnest(t) AS token, generate_subscripts(t, 1) AS lugar
+  FROM (SELECT query_id, regexp_extract_all(sql_limpio, '''[^'']*(?:''''[^'']*)*''|[\\p{L}\\p{N}_.$]+') AS t
+        FROM limpios) x
+),
+literales AS (
+  SELECT query_id, lugar, replace(token, chr(39), '') AS literal,
+         CAST(coalesce(try_strptime(replace(token, chr(39), ''), '%Y-%m-%d'),
+                       try_strptime(replace(token, chr(39), ''), '%Y%m%d')) AS DATE) AS fecha
+  FROM tokens
+  WHERE regexp_full_match(token, '''([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{8})''|[0-9]{8}')
+),
+numerados AS (
+  SELECT query_id, literal, fecha, row_number() OVER (PARTITION BY query_id ORDER BY lugar) AS posicion
+  FROM literales WHERE fecha IS NOT NULL
+),
+dominante AS (
+  SELECT query_id, fecha AS fecha_dominante, count(*) AS veces, min(posicion) AS primera
+  FROM numerados GROUP BY query_id, fecha
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY count(*) DESC, min(posicion)) = 1
+)"""
+
+SOURCES_SQL = """
+fuentes AS (
+  SELECT query_id, 1 AS posicion, 'base' AS cte, CAST(NULL AS VARCHAR) AS catalogo,
+         'ventas' AS esquema, 'pedidos_' || lower(s) AS tabla FROM partes
+  UNION ALL SELECT query_id, 2, 'clientes', NULL, 'crm', 'cliente_' || grupo FROM partes WHERE s <> 'O'
+  UNION ALL SELECT query_id, 3, 'clientes', NULL, 'maestro', 'region' FROM partes WHERE s <> 'O'
+  UNION ALL SELECT query_id, 4, 'ajuste', 'lake', 'ventas', 'pedidos_p' FROM partes WHERE s = 'P'
+  UNION ALL SELECT query_id, 5, 'ajuste', NULL, 'legado', 'saldo_' || compacta FROM partes WHERE s = 'P'
+  UNION ALL SELECT query_id, CASE s WHEN 'O' THEN 2 WHEN 'F' THEN 4 ELSE 6 END, NULL, NULL,
+                   'externo', 'tipo_' || grupo FROM partes
+)"""
+
+BODIES_SQL = """
+cuerpos AS (
+  SELECT query_id, 1 AS posicion, 'base' AS nombre, false AS es_final,
+         'SELECT t.id, t.saldo, ' || q || p || q || ' AS prioridad FROM ventas.pedidos_' || lower(s)
+         || ' t WHERE t.fecha = DATE ' || q || iso || q || ' AND t.clave <= ' || compacta AS cuerpo
+  FROM partes
+  UNION ALL
+  SELECT query_id, 2, 'clientes', false,
+         'SELECT c.id, (c.saldo + 1) AS saldo FROM crm.cliente_' || grupo
+         || ' c JOIN maestro.region r ON r.id = c.region WHERE c.alta >= ' || q || iso_previa || q
+         || ' AND nota <> ' || q || 'cierre (parcial ' || iso || q
+  FROM partes WHERE s <> 'O'
+  UNION ALL
+  SELECT query_id, 3, 'ajuste', false,
+         'SELECT id FROM lake.ventas.pedidos_p, legado.saldo_' || compacta || ' WHERE clave IN (' || compacta_previa
+         || ', 20251399, ' || compacta_previa || ', ' || q || compacta_previa || q || ')'
+  FROM partes WHERE s = 'P'
+  UNION ALL
+  SELECT query_id, CASE s WHEN 'O' THEN 2 WHEN 'F' THEN 3 ELSE 4 END, NULL, true,
+         'SELECT b.id, extract(year FROM b.alta) AS anio FROM base b LEFT JOIN externo.tipo_' || grupo
+         || ' x ON x.id = b.id'
+  FROM partes
+)"""
+
+CORPUS = (shapes.CORPUS_SQL, CLEAN_SQL, DATES_SQL)
+FORMATS_SQL = "(VALUES " + ", ".join(f"('{n}', '{f}')" for n, f in shapes.CORPUS_FORMATS.items()) + ")"
+
+ORACLE["corpus_clean"] = _with(shapes.CORPUS_SQL, CLEAN_SQL, final="SELECT * FROM limpios")
+ORACLE["corpus_date_literals"] = _with(*CORPUS, final="SELECT query_id, posicion, literal, fecha FROM numerados")
+ORACLE["corpus_dominant_date"] = _with(*CORPUS, final="SELECT * FROM dominante")
+ORACLE["corpus_parameterised"] = _with(
+    *CORPUS,
+    """
+sustituidos AS (
+  SELECT query_id, fecha_dominante,
+         regexp_replace(
+           CASE WHEN has_iso
+                THEN replace(replace(sql_limpio, chr(39) || iso || chr(39), '{fecha_corte_iso}'), iso, '{fecha_corte_iso}')
+                ELSE sql_limpio END,
+           '\\b' || compacta || '\\b', CASE WHEN has_compact THEN '{fecha_corte}' ELSE compacta END, 'g'
+         ) AS sql_parametrizado
+  FROM (SELECT l.query_id, l.sql_limpio, d.fecha_dominante,
+               strftime(d.fecha_dominante, '%Y-%m-%d') AS iso, strftime(d.fecha_dominante, '%Y%m%d') AS compacta,
+               bool_or(n.literal LIKE '%-%') AS has_iso, bool_or(n.literal NOT LIKE '%-%') AS has_compact
+        FROM limpios l
+        JOIN dominante d ON d.query_id = l.query_id
+        JOIN numerados n ON n.query_id = l.query_id AND n.fecha = d.fecha_dominante
+        GROUP BY ALL) x
+)""",
+    final="SELECT * FROM sustituidos",
+)
+ORACLE["corpus_sources"] = _with(
+    shapes.CORPUS_SQL,
+    SOURCES_SQL,
+    final="""SELECT query_id, posicion, catalogo, esquema, tabla, esquema || '.' || tabla AS nombre_completo
+             FROM fuentes""",
+)
+ORACLE["corpus_classified"] = _with(
+    shapes.CORPUS_SQL,
+    SOURCES_SQL,
+    final=f"""SELECT query_id, posicion, esquema || '.' || tabla AS nombre_completo,
+                     coalesce(f.col1, 'unknown') AS formato,
+                     CASE WHEN f.col1 IS NULL THEN 'spark_catalog' ELSE 'glue_catalog' END AS catalogo_destino
+              FROM fuentes LEFT JOIN {FORMATS_SQL} f ON f.col0 = esquema || '.' || tabla""",
+)
+ORACLE["corpus_source_list"] = _with(
+    shapes.CORPUS_SQL,
+    SOURCES_SQL,
+    final="""SELECT query_id, string_agg(esquema || '.' || tabla, ',' ORDER BY posicion) AS fuentes
+             FROM fuentes GROUP BY query_id""",
+)
+ORACLE["corpus_ctes"] = _with(shapes.CORPUS_SQL, BODIES_SQL, final="SELECT * FROM cuerpos")
+ORACLE["corpus_lineage"] = _with(
+    shapes.CORPUS_SQL,
+    SOURCES_SQL,
+    final="""SELECT query_id,
+                    CASE cte WHEN 'base' THEN 1 WHEN 'clientes' THEN 2 WHEN 'ajuste' THEN 3
+                             ELSE CASE s WHEN 'O' THEN 2 WHEN 'F' THEN 3 ELSE 4 END END AS cte_posicion,
+                    cte AS nombre,
+                    row_number() OVER (PARTITION BY query_id, cte ORDER BY posicion) AS posicion,
+                    esquema || '.' || tabla AS nombre_completo
+             FROM fuentes JOIN (SELECT query_id, s FROM partes) p USING (query_id)""",
+)
+ORACLE["corpus_params"] = _with(
+    shapes.CORPUS_SQL,
+    CLEAN_SQL,
+    DATES_SQL,
+    BODIES_SQL,
+    final="""SELECT c.query_id, posicion, nombre,
+                    contains(cuerpo, chr(39) || strftime(fecha_dominante, '%Y-%m-%d') || chr(39))
+                      OR contains(cuerpo, '(parcial ' || strftime(fecha_dominante, '%Y-%m-%d')) AS usa_fecha_corte_iso,
+                    regexp_matches(cuerpo, '\\b' || strftime(fecha_dominante, '%Y%m%d') || '\\b') AS usa_fecha_corte
+             FROM cuerpos c JOIN dominante d ON d.query_id = c.query_id""",
+)

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saldoflow.checks import shapes
+from saldoflow.functions.dates import cut_table
+from saldoflow.functions.dates import resolve_cut_dates as resolve
+from saldoflow.operators import corpus, joins
+from saldoflow.operators.audit import add_audit_columns
 from saldoflow.operators.calendar import CutCalendar
 from saldoflow.plans.report import CalendarReport
+from saldoflow.session import shared_folder
+from saldoflow.sinks.snapshot import replace_snapshots
+from saldoflow.sources import binding
 
 QUERIES = {}
 
@@ -31,6 +41,7 @@ def report_for(spark: SparkSession, sf_dir: str, cuts: DataFrame | None = None)
         shapes.ledger(tables),
         shapes.books(tables),
         shapes.cuts(tables) if cuts is None else cuts,
+        on_zero="null",  # the smallest tables have cuts without any balance
     )
 
 
@@ -137,3 +148,153 @@ def proration(spark, sf_dir):
 @registered
 def final_report_multi_cut(spark, sf_dir):
     return report_for(spark, sf_dir).report().select("fecha_corte", "uc", "sub", "columna", rounded("valor"))
+
+
+# The cut of the single-cut report: a working Friday after a holiday Thursday.
+CUT = "1997-05-02"
+# The run clock of the registered queries: still the previous day in the reporting zone.
+CLOCK = "TIMESTAMP '2001-11-08 03:00:00 UTC'"
+
+
+@registered
+def final_report(spark, sf_dir):
+    """One cut, ordered: the form a daily run uses."""
+    report = report_for(spark, sf_dir, cut_table(spark, CUT)).report()
+    return report.select("uc", "sub", "columna", rounded("valor")).orderBy(
+        F.col("sub").asc_nulls_last(), F.col("columna").asc_nulls_last()
+    )
+
+
+@registered
+def bucket_calendar(spark, sf_dir):
+    """One cut: every bucket from the prior days off to the 365-day label."""
+    calendar = CutCalendar(shapes.calendar(shapes.Tables(spark, sf_dir)), cut_table(spark, CUT))
+    return calendar.bucket_calendar().drop("fecha_corte")
+
+
+@registered
+def audit_columns(spark, sf_dir):
+    report = report_for(spark, sf_dir).report().select("fecha_corte", "uc", "sub", "columna", rounded("valor"))
+    return add_audit_columns(report, F.expr(CLOCK))
+
+
+@registered
+def resolve_cut_dates(spark, sf_dir):
+    return resolve(shapes.requests(shapes.Tables(spark, sf_dir)), "solicitud", F.expr(CLOCK))
+
+
+@registered
+def audited_totals(spark, sf_dir):
+    tables = shapes.Tables(spark, sf_dir)
+    return joins.audited_totals(
+        shapes.entities(tables), shapes.audits(tables), "id", "nombre", "monto", "id_auditado", "auditoria"
+    ).withColumn("total", money("total"))
+
+
+@registered
+def literal_row(spark, sf_dir):
+    """A literal run header joined with what the ledger holds on its date."""
+    header = binding.literal_row(spark, id=1, descripcion="corte de prueba", fecha_corte=dt.date.fromisoformat(CUT))
+    held = (
+        shapes.ledger(shapes.Tables(spark, sf_dir))
+        .groupBy(F.col("fecha").cast("date").alias("fecha_corte"))
+        .agg(F.count(F.lit(1)).alias("filas"), F.sum("saldo").cast("decimal(38,2)").alias("saldo"))
+    )
+    return header.join(held, "fecha_corte", "left")
+
+
+@registered
+def sql_views(spark, sf_dir):
+    """SQL texts as views in order, with table and date bound as parameters."""
+    return binding.run_views(
+        spark,
+        [
+            ("vw_pedidos", "SELECT * FROM IDENTIFIER(:pedidos) WHERE CAST(o_orderdate AS DATE) >= :desde"),
+            (
+                "vw_por_prioridad",
+                """SELECT o_orderpriority AS prioridad, COUNT(DISTINCT o_custkey) AS clientes,
+                          CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS monto
+                   FROM vw_pedidos GROUP BY o_orderpriority""",
+            ),
+        ],
+        "SELECT prioridad, clientes, monto FROM vw_por_prioridad",
+        args={"pedidos": f"parquet.`{sf_dir}/orders.parquet`", "desde": dt.date(1995, 1, 10)},
+        keep=False,
+    )
+
+
+@registered
+def snapshot_replace(spark, sf_dir):
+    """Write the ledger as month-end snapshots, then replace those of 1997 with quarter ends only.
+
+    The other months of 1997 end up empty; all other years keep their first version.
+    """
+    ledger = shapes.ledger(shapes.Tables(spark, sf_dir)).withColumn("fecha_corte", F.last_day("fecha"))
+
+    def snapshot(rows: DataFrame, version: int) -> DataFrame:
+        sums = rows.groupBy("fecha_corte", "uc").agg(F.sum("saldo").cast("decimal(38,2)").alias("saldo"))
+        return add_audit_columns(sums.withColumn("version", F.lit(version)), F.expr(CLOCK))
+
+    cuts = [row["fecha_corte"] for row in ledger.select("fecha_corte").distinct().collect()]
+    replaced = [cut for cut in cuts if cut.year == 1997]
+    quarter_ends = ledger.filter("year(fecha_corte) = 1997 AND month(fecha_corte) % 3 = 0")
+    run = uuid.uuid4().hex[:12]
+    table, location = f"saldos_{run}", f"{shared_folder(spark)}/saldos_{run}"
+    replace_snapshots(snapshot(ledger, 1), table, cuts, location=location)
+    replace_snapshots(snapshot(quarter_ends, 2), table, replaced)
+    return spark.table(table)
+
+
+def corpus_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shapes.corpus(shapes.Tables(spark, sf_dir))
+
+
+@registered
+def corpus_clean(spark, sf_dir):
+    return corpus.clean_queries(corpus_for(spark, sf_dir))
+
+
+@registered
+def corpus_sources(spark, sf_dir):
+    return corpus.source_references(corpus_for(spark, sf_dir))
+
+
+@registered
+def corpus_classified(spark, sf_dir):
+    classified = corpus.classify_sources(corpus.source_references(corpus_for(spark, sf_dir)), shapes.CORPUS_FORMATS)
+    return classified.select("query_id", "posicion", "nombre_completo", "formato", "catalogo_destino")
+
+
+@registered
+def corpus_source_list(spark, sf_dir):
+    return corpus.source_list(corpus_for(spark, sf_dir))
+
+
+@registered
+def corpus_date_literals(spark, sf_dir):
+    return corpus.query_dates(corpus_for(spark, sf_dir))
+
+
+@registered
+def corpus_dominant_date(spark, sf_dir):
+    return corpus.dominant_dates(corpus_for(spark, sf_dir))
+
+
+@registered
+def corpus_parameterised(spark, sf_dir):
+    return corpus.parameterise(corpus_for(spark, sf_dir))
+
+
+@registered
+def corpus_ctes(spark, sf_dir):
+    return corpus.query_ctes(corpus_for(spark, sf_dir))
+
+
+@registered
+def corpus_lineage(spark, sf_dir):
+    return corpus.lineage(corpus_for(spark, sf_dir))
+
+
+@registered
+def corpus_params(spark, sf_dir):
+    return corpus.cte_parameters(corpus_for(spark, sf_dir))

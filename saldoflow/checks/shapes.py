@@ -155,3 +155,75 @@ requests AS (
               WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '' END AS solicitud
   FROM orders
 )"""
+
+
+# One query text per order. The expressions are common to both dialects; only the date spelling differs.
+_CORPUS_PARTS = """
+  SELECT o_orderkey AS query_id, o_orderstatus AS s, o_custkey % 7 AS grupo, iso, compacta, iso_previa, compacta_previa,
+         chr(39) AS q, chr(10) AS nl, o_orderpriority AS p
+  FROM fechas"""
+_CORPUS_TEXT = """
+  SELECT query_id, s, grupo, iso, compacta, iso_previa, q, p,
+         CASE WHEN s = 'O' THEN '' ELSE '-- consulta ' || query_id || ' de 20240229' || nl END
+         || 'WITH base AS (' || nl || '  SELECT t.id,  t.saldo, ' || q || p || q || ' AS prioridad' || nl
+         || '  FROM ventas.pedidos_' || lower(s) || ' t' || nl
+         || '  WHERE t.fecha = DATE ' || q || iso || q || ' AND t.clave <= ' || compacta || nl || ')'
+         || CASE WHEN s = 'O' THEN '' ELSE
+              ', clientes AS (SELECT c.id, (c.saldo + 1) AS saldo' || nl || 'FROM crm.cliente_' || grupo
+              || ' c /* carga' || nl || compacta_previa || ' */ JOIN maestro.region r ON r.id = c.region'
+              || ' WHERE c.alta >= ' || q || iso_previa || q || ' AND nota <> ' || q || 'cierre (parcial ' || iso || q
+              || ')' END
+         || CASE WHEN s = 'P' THEN
+              ', ajuste AS ( SELECT id FROM lake.ventas.pedidos_p, legado.saldo_' || compacta
+              || ' WHERE clave IN (' || compacta_previa || ', 20251399, ' || compacta_previa || ', '
+              || q || compacta_previa || q || ') )' ELSE '' END
+         || nl || 'SELECT b.id, extract(year FROM b.alta) AS anio FROM base b LEFT JOIN externo.tipo_' || grupo
+         || ' x ON x.id = b.id' AS sql_text
+  FROM partes"""
+
+
+def corpus(tables: Tables) -> DataFrame:
+    """A table of SQL texts with one to three CTEs, comments, literals and both date spellings."""
+    return tables.orders.sparkSession.sql(
+        f"""
+        WITH fechas AS (
+          SELECT *, date_format(o_orderdate, 'yyyy-MM-dd') AS iso, date_format(o_orderdate, 'yyyyMMdd') AS compacta,
+                 date_format(date_sub(o_orderdate, 30), 'yyyy-MM-dd') AS iso_previa,
+                 date_format(date_sub(o_orderdate, 30), 'yyyyMMdd') AS compacta_previa
+          FROM {{orders}}),
+        partes AS ({_CORPUS_PARTS}),
+        textos AS ({_CORPUS_TEXT})
+        SELECT query_id, sql_text FROM textos""",
+        orders=tables.orders,
+    )
+
+
+CORPUS_SQL = f"""
+fechas AS (
+  SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%Y%m%d') AS compacta,
+         strftime(o_orderdate - INTERVAL 30 DAY, '%Y-%m-%d') AS iso_previa,
+         strftime(o_orderdate - INTERVAL 30 DAY, '%Y%m%d') AS compacta_previa
+  FROM orders),
+partes AS ({_CORPUS_PARTS}),
+textos AS ({_CORPUS_TEXT})"""
+
+# Table formats of the derived corpus; sources not listed are unknown.
+CORPUS_FORMATS = {
+    "ventas.pedidos_o": "iceberg",
+    "ventas.pedidos_f": "iceberg",
+    "crm.cliente_0": "parquet",
+    "crm.cliente_3": "parquet",
+    "maestro.region": "delta",
+}
+
+
+def entities(tables: Tables) -> DataFrame:
+    """Orders after January 1995 as entities with a name and an amount."""
+    return tables.orders.filter("o_orderdate > DATE '1995-01-31'").selectExpr(
+        "o_orderkey AS id", "o_orderstatus AS nombre", "CAST(o_totalprice AS DECIMAL(18,2)) AS monto"
+    )
+
+
+def audits(tables: Tables) -> DataFrame:
+    """Line items as audits of orders."""
+    return tables.lineitem.selectExpr("l_orderkey AS id_auditado", "l_suppkey AS auditoria")

@@ -58,9 +58,9 @@ def cut_table(spark: SparkSession, *cuts: dt.date | str) -> DataFrame:
     return spark.createDataFrame([(d,) for d in days], "fecha_corte date")
 
 
-def report_clock(instant_utc: Column) -> Column:
-    """Wall time in the reporting zone for a UTC timestamp."""
-    return F.from_utc_timestamp(instant_utc, REPORT_ZONE)
+def report_clock(instant: Column) -> Column:
+    """Wall time of the reporting zone at an instant, as a timestamp without zone, whatever the session zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit(REPORT_ZONE), instant.cast("timestamp_ntz"))
 
 
 def resolved_cut(request: Column, now_local: Column, on_invalid: str = "error") -> Column:
@@ -88,9 +88,9 @@ def is_today_request(request: Column) -> Column:
     return request.isNull() | F.trim(request).isin(*TODAY_REQUESTS)
 
 
-def resolve_cut_dates(requests: DataFrame, request: str, now_utc: Column, on_invalid: str = "error") -> DataFrame:
+def resolve_cut_dates(requests: DataFrame, request: str, now: Column, on_invalid: str = "error") -> DataFrame:
     """Add the cut date, its two spellings, and the run-day columns to a table of requests."""
-    local = report_clock(now_utc)
+    local = report_clock(now)
     cut = resolved_cut(F.col(request), local, on_invalid)
     return (
         requests.withColumn("cut", cut)

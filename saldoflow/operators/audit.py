@@ -15,7 +15,7 @@ def partition_parts(day: Column) -> dict[str, Column]:
     return dict(zip(PARTITION_COLUMNS, (F.year(day).cast("int"), F.month(day).cast("int"), F.dayofmonth(day).cast("int"))))
 
 
-def add_audit_columns(df: DataFrame, now_utc: Column, cut: Column | None = None) -> DataFrame:
+def add_audit_columns(df: DataFrame, now: Column, cut: Column | None = None) -> DataFrame:
     """Add run time (reporting-zone wall clock, whole seconds), cut date and partition columns.
 
     Without ``cut`` the frame's own ``fecha_corte`` is used.
@@ -23,7 +23,7 @@ def add_audit_columns(df: DataFrame, now_utc: Column, cut: Column | None = None)
     day = F.col("fecha_corte") if cut is None else cut
     stamped = df.withColumns(
         {
-            "fecha_proceso": F.date_trunc("second", report_clock(now_utc)),
+            "fecha_proceso": F.date_trunc("second", report_clock(now)).cast("timestamp_ntz"),
             "fecha_corte": day.cast("date"),
         }
     )
