@@ -26,7 +26,7 @@ _DATE_TOKEN = r"^(?:'(?:\d{4}-\d{2}-\d{2}|\d{8})'|\d{8})$"
 # FROM inside EXTRACT(...), TRIM(...), SUBSTRING(...), OVERLAY(...) and IS DISTINCT FROM names no table.
 _FUNCTION_FROM = r"(?i)\b(?:EXTRACT|TRIM|SUBSTRING|OVERLAY)\s*\([^()]*?\sFROM\s|\bDISTINCT\s+FROM\s"
 _NAME = r"[^\s,;()]+"
-_TABLE_LIST = rf"(?i)\b(?:FROM|JOIN)\s+({_NAME}(?:(?:\s+(?:AS\s+)?\w+)?\s*,\s*{_NAME})*)"
+_TABLE_LIST = rf"(?i)\b(?:FROM|JOIN)\s+({_NAME}(?:(?:\s+(?:AS\s+)?\w+)?\s*,\s*{_NAME})*+)"
 
 # Markers put in the place of the dominant date.
 ISO_MARKER = "{fecha_corte_iso}"

@@ -76,20 +76,20 @@ def _with_literals(corpus: DataFrame, key: str, text: str) -> DataFrame:
 
 def query_dates(corpus: DataFrame, key: str = "query_id", text: str = "sql_text") -> DataFrame:
     """Valid date literals per query, numbered in text order."""
-    return (
-        _with_literals(corpus, key, text)
-        .select(key, F.posexplode("literales").alias("pos", "d"))
-        .select(key, (F.col("pos") + 1).alias("posicion"), "d.*")
+    found = clean_queries(corpus, key, text).select(
+        key, F.posexplode(date_literals(F.col("sql_limpio"))).alias("pos", "d")
     )
+    return found.select(key, (F.col("pos") + 1).alias("posicion"), "d.*")
 
 
 def dominant_dates(corpus: DataFrame, key: str = "query_id", text: str = "sql_text") -> DataFrame:
     """The most frequent date of each query with dates, over both spellings."""
+    # Exploding zero or one value drops the NULLs; a filter would be pushed down with a copy of the extraction.
+    found = F.array_compact(F.array(dominant_date("literales")))
     return (
         _with_literals(corpus, key, text)
-        .select(key, dominant_date("literales").alias("d"))
-        .filter(F.col("d").isNotNull())
-        .select(key, F.col("d.fecha").alias("fecha_dominante"), "d.veces", "d.primera")
+        .select(key, F.inline(found))
+        .withColumnRenamed("fecha", "fecha_dominante")
     )
 
 
