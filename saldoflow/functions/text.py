@@ -17,16 +17,18 @@ from pyspark.sql.functions import pandas_udf
 # Fixed patterns.
 LINE_COMMENT = r"--[^\n]*+"
 BLOCK_COMMENT = r"(?s)/\*.*?\*/"
-BLANKS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+# The first class only lets letters, digits and signs fail early.
+BLANKS = r"[\x09-\x20\x85-\u3000&&[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]+"
 STRING_LITERAL = r"'[^']*+(?:''[^']*+)*+'"
 QUOTED_NAME = r'"[^"]*+(?:""[^"]*+)*+"'
 _WORD = r"[\p{L}\p{N}_.$]"
-_DATE_CANDIDATE = rf"{STRING_LITERAL}|{QUOTED_NAME}|(?<!{_WORD})\d{{8}}(?!{_WORD})"
+_DATE_CANDIDATE = rf"{STRING_LITERAL}|{QUOTED_NAME}|\d{{8}}(?<!{_WORD}\d{{8}})(?!{_WORD})"
 _DATE_TOKEN = r"^(?:'(?:\d{4}-\d{2}-\d{2}|\d{8})'|\d{8})$"
 # FROM inside EXTRACT(...), TRIM(...), SUBSTRING(...), OVERLAY(...) and IS DISTINCT FROM names no table.
-_FUNCTION_FROM = r"(?i)\b(?:EXTRACT|TRIM|SUBSTRING|OVERLAY)\s*\([^()]*?\sFROM\s|\bDISTINCT\s+FROM\s"
+_FUNCTION_FROM = r"(?:EXTRACT|TRIM|SUBSTRING|OVERLAY)\s*\([^()']{0,200}?(?:'[^']*+'[^()']{0,200}?)?\sFROM\s"
 _NAME = r"[^\s,;()]+"
-_TABLE_LIST = rf"(?i)\b(?:FROM|JOIN)\s+({_NAME}(?:(?:\s+(?:AS\s+)?\w+)?\s*,\s*{_NAME})*+)"
+_TABLE_LIST = rf"(?:FROM|JOIN)\s+({_NAME}(?:(?:\s+(?:AS\s+)?\w+)?\s*,\s*{_NAME})*+)"
+_TABLE_LIST_OR_SKIPPED = rf"(?i){STRING_LITERAL}|\b(?:{_TABLE_LIST}|DISTINCT\s+FROM\s|{_FUNCTION_FROM})"
 
 # Markers put in the place of the dominant date.
 ISO_MARKER = "{fecha_corte_iso}"
@@ -51,7 +53,9 @@ def date_literals(clean: Column) -> Column:
 
     def dated(token: Column) -> Column:
         text = F.replace(token, F.lit("'"), F.lit(""))
-        day = F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_date(text, "yyyyMMdd"))
+        digits = F.replace(text, F.lit("-"), F.lit(""))
+        iso = F.concat_ws("-", F.substring(digits, 1, 4), F.substring(digits, 5, 2), F.substring(digits, 7, 2))
+        day = F.when(~iso.startswith("0000"), iso.try_cast("date"))
         return F.struct(text.alias("literal"), day.alias("fecha"))
 
     return F.filter(F.transform(tokens, dated), lambda d: d["fecha"].isNotNull())
@@ -104,10 +108,9 @@ def table_references(clean: Column) -> Column:
 
     ``array<struct<catalogo, esquema, tabla, nombre_completo>>``; unqualified names (CTEs) are skipped.
     """
-    code = F.regexp_replace(F.regexp_replace(clean, STRING_LITERAL, "''"), _FUNCTION_FROM, " ")
-    lists = F.regexp_extract_all(code, F.lit(_TABLE_LIST), F.lit(1))
-    items = F.flatten(F.transform(lists, lambda text: F.split(text, r"\s*,\s*")))
-    names = F.transform(items, lambda item: F.regexp_replace(F.regexp_extract(item, r"^\s*(\S+)", 1), '["`]', ""))
+    lists = F.regexp_extract_all(clean, F.lit(_TABLE_LIST_OR_SKIPPED), F.lit(1))
+    items = F.flatten(F.transform(F.filter(lists, lambda text: text != ""), lambda text: F.split(text, ",")))
+    names = F.transform(items, lambda item: F.translate(F.substring_index(F.trim(item), " ", 1), '"`', ""))
     parts = F.transform(F.filter(names, lambda n: n.contains(".")), lambda n: F.split(n, r"\."))
     return F.array_distinct(
         F.transform(
