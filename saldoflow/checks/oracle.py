@@ -307,11 +307,11 @@ SELECT r.id, r.nombre, CAST(r.total AS DECIMAL(38,2)) AS total, r.total_auditori
 FROM resumen r JOIN lineitem l ON r.id = l.l_orderkey"""
 ORACLE["literal_row"] = _with(
     shapes.LEDGER_SQL,
-    final=f"""SELECT h.*, g.filas, g.saldo
-              FROM (SELECT CAST(1 AS INTEGER) AS id, 'corte de prueba' AS descripcion, DATE '{CUT}' AS fecha_corte) h
-              LEFT JOIN (SELECT CAST(fecha AS DATE) AS fecha, count(*) AS filas,
-                                CAST(sum(saldo) AS DECIMAL(38,2)) AS saldo
-                         FROM ledger GROUP BY 1) g ON g.fecha = h.fecha_corte""",
+    final=f"""SELECT 0 AS id, 'cabecera' AS descripcion, DATE '{CUT}' AS fecha_corte,
+                     CAST(NULL AS DECIMAL(38,2)) AS saldo, CAST(NULL AS BIGINT) AS filas
+              UNION ALL
+              SELECT 1, 'total del día', CAST(fecha AS DATE), CAST(sum(saldo) AS DECIMAL(38,2)), count(*)
+              FROM ledger GROUP BY CAST(fecha AS DATE)""",
 )
 ORACLE["sql_views"] = """
 SELECT o_orderpriority AS prioridad, count(DISTINCT o_custkey) AS clientes,

@@ -193,14 +193,16 @@ def audited_totals(spark, sf_dir):
 
 @registered
 def literal_row(spark, sf_dir):
-    """A literal run header joined with what the ledger holds on its date."""
-    header = binding.literal_row(spark, id=1, descripcion="corte de prueba", fecha_corte=dt.date.fromisoformat(CUT))
-    held = (
+    """A row of literals put in front of the ledger's totals per date."""
+    header = binding.literal_row(
+        spark, id=0, descripcion="cabecera", fecha_corte=dt.date.fromisoformat(CUT), saldo=None, filas=None
+    )
+    per_date = (
         shapes.ledger(shapes.Tables(spark, sf_dir))
         .groupBy(F.col("fecha").cast("date").alias("fecha_corte"))
-        .agg(F.count(F.lit(1)).alias("filas"), F.sum("saldo").cast("decimal(38,2)").alias("saldo"))
+        .agg(F.sum("saldo").cast("decimal(38,2)").alias("saldo"), F.count(F.lit(1)).alias("filas"))
     )
-    return header.join(held, "fecha_corte", "left")
+    return header.unionByName(per_date.withColumns({"id": F.lit(1), "descripcion": F.lit("total del día")}))
 
 
 @registered

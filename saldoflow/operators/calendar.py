@@ -160,6 +160,10 @@ class CutCalendar:
             if name in self.__dict__:
                 self.__dict__.pop(name).unpersist()
 
+    def cut_dates(self) -> DataFrame:
+        """The cuts, each once, from the persisted timeline."""
+        return self._events.filter("es_corte = 1").selectExpr("fecha AS fecha_corte")
+
     def lookback_window(self) -> DataFrame:
         """The four latest calendar rows before each cut, with the first and last date of the window."""
         return _backward_rows(self._line, LOOKBACK).selectExpr(

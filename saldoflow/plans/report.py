@@ -60,7 +60,7 @@ class CalendarReport:
         self.cut_calendar.release()
 
     def snapshot(self) -> DataFrame:
-        return ledger_snapshot(self.ledger, self.cuts, self.unit, self.snapshot_type)
+        return ledger_snapshot(self.ledger, self.cut_calendar.cut_dates(), self.unit, self.snapshot_type)
 
     def control(self) -> DataFrame:
         return control_totals(self.ledger, self.buckets, self.unit, self.snapshot_type)
