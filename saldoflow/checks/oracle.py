@@ -18,59 +18,37 @@ def _with(*parts: str, final: str) -> str:
 
 KEY = "CAST(strftime(fecha_corte, '%Y%m%d') AS INTEGER)"
 
+# k counts calendar rows back from the cut: 1 to 4 are the window, 5 to 8 the rows before it.
 BACKWARD_SQL = f"""
-ultimos AS (
-  SELECT fecha_corte, fec_fecha_iso, flg_dia_habil
+earlier AS (
+  SELECT fecha_corte, fec_fecha_iso AS fecha, nom_dia_semana AS label, flg_dia_habil AS flag,
+         flg_dia_habil = 1 AND nom_dia_semana <> 'sábado' AS working,
+         row_number() OVER (PARTITION BY fecha_corte ORDER BY fec_fecha_iso DESC) AS k
   FROM cuts JOIN cal ON id_dh_fecha < {KEY}
-  QUALIFY row_number() OVER (PARTITION BY fecha_corte ORDER BY fec_fecha_iso DESC) <= 4
 ),
-rango AS (
-  SELECT fecha_corte, min(fec_fecha_iso) AS fecha_inicio, max(fec_fecha_iso) AS fecha_final
-  FROM ultimos GROUP BY fecha_corte
+near AS (SELECT * FROM earlier WHERE k <= 8),
+numbered AS (
+  SELECT a.fecha_corte, a.fecha, a.label, a.flag, a.working, a.k,
+         count(*) AS day_number, count(*) FILTER (b.flag = 1) AS flagged, count(*) FILTER (b.working) AS worked
+  FROM near a JOIN near b ON a.fecha_corte = b.fecha_corte AND b.k BETWEEN a.k AND 4
+  WHERE a.k <= 4
+  GROUP BY ALL
 ),
-habiles AS (
-  SELECT fecha_corte, fec_fecha_iso,
-         row_number() OVER (PARTITION BY fecha_corte ORDER BY fec_fecha_iso) AS columna
-  FROM ultimos WHERE flg_dia_habil = 1
+prior AS (
+  SELECT a.fecha_corte, a.label AS proyeccion, a.fecha, CAST(1 AS BIGINT) AS columna
+  FROM near a LEFT JOIN near b ON a.fecha_corte = b.fecha_corte AND b.k = a.k - 1 AND b.k >= 5
+  WHERE a.k >= 5 AND NOT a.working
+    AND NOT (a.label = 'jueves' AND (b.k IS NULL OR (b.label = 'viernes' AND b.flag = 1)))
 ),
-no_habiles AS (
-  SELECT fecha_corte, fec_fecha_iso, nom_dia_semana,
-         CASE WHEN nom_dia_semana = 'sábado' THEN 0 ELSE flg_dia_habil END AS flg_ajustado,
-         row_number() OVER (PARTITION BY fecha_corte ORDER BY fec_fecha_iso) AS columna
-  FROM cal JOIN rango ON fec_fecha_iso >= fecha_inicio AND id_dh_fecha < {KEY}
-),
-previos AS (
-  SELECT fecha_corte, fec_fecha_iso, nom_dia_semana, flg_dia_habil
-  FROM cal JOIN rango ON fec_fecha_iso < fecha_inicio
-  QUALIFY row_number() OVER (PARTITION BY fecha_corte ORDER BY fec_fecha_iso DESC) <= 4
-),
-analisis AS (
-  SELECT *, lead(flg_dia_habil) OVER w AS flg_siguiente, lead(nom_dia_semana) OVER w AS dia_siguiente
-  FROM previos WINDOW w AS (PARTITION BY fecha_corte ORDER BY fec_fecha_iso)
-),
-b1 AS (
-  SELECT fecha_corte, nom_dia_semana AS proyeccion, fec_fecha_iso AS fecha, CAST(1 AS BIGINT) AS columna
-  FROM analisis
-  WHERE (flg_dia_habil = 0 OR nom_dia_semana = 'sábado')
-    AND NOT (nom_dia_semana = 'jueves' AND flg_dia_habil = 0
-             AND dia_siguiente = 'viernes' AND flg_siguiente = 1)
-),
-b2 AS (
-  SELECT fecha_corte, nom_dia_semana AS proyeccion, fec_fecha_iso AS fecha,
-         CASE WHEN flg_ajustado = 1 THEN columna_h
-              WHEN flg_ajustado = 0 AND nom_dia_semana = 'jueves' THEN 5
-              ELSE columna_nh - columna_ref + 1 END AS columna
-  FROM (SELECT n.*, n.columna AS columna_nh, h.columna AS columna_h,
-               row_number() OVER (PARTITION BY n.fecha_corte, n.flg_ajustado ORDER BY n.fec_fecha_iso) AS columna_ref
-        FROM no_habiles n
-        LEFT JOIN habiles h ON h.fecha_corte = n.fecha_corte AND h.fec_fecha_iso = n.fec_fecha_iso) x
-),
-b3 AS (
-  SELECT fecha_corte, nom_dia_semana AS proyeccion, fec_fecha_iso AS fecha,
-         CAST(CASE WHEN flg_dia_habil = 1 THEN 5 ELSE 8 END AS BIGINT) AS columna
+atras AS (
+  SELECT * FROM prior
+  UNION ALL
+  SELECT fecha_corte, label, fecha, CASE WHEN working THEN flagged WHEN label = 'jueves' THEN 5 ELSE worked + 1 END
+  FROM numbered
+  UNION ALL
+  SELECT fecha_corte, nom_dia_semana, fec_fecha_iso, CASE flg_dia_habil WHEN 1 THEN 5 ELSE 8 END
   FROM cuts JOIN cal ON id_dh_fecha = {KEY}
-),
-atras AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2 UNION ALL SELECT * FROM b3)"""
+)"""
 
 NEXT_SQL = f"""
 siguiente AS (
@@ -121,18 +99,19 @@ ORACLE["dim_calendar"] = _with(shapes.CALENDAR_SQL, final="SELECT * FROM cal")
 ORACLE["lookback_window"] = _with(
     *CALENDAR,
     BACKWARD_SQL,
-    final="""SELECT u.fecha_corte, u.fec_fecha_iso AS fecha, u.flg_dia_habil, fecha_inicio, fecha_final
-             FROM ultimos u JOIN rango r ON r.fecha_corte = u.fecha_corte""",
+    final="""SELECT n.fecha_corte, n.fecha, n.flag AS flg_dia_habil, span.fecha_inicio, span.fecha_final
+             FROM numbered n
+             JOIN (SELECT fecha_corte, min(fecha) AS fecha_inicio, max(fecha) AS fecha_final
+                   FROM numbered GROUP BY fecha_corte) span ON span.fecha_corte = n.fecha_corte""",
 )
 ORACLE["business_day_numbers"] = _with(
     *CALENDAR,
     BACKWARD_SQL,
-    final="""SELECT n.fecha_corte, n.fec_fecha_iso AS fecha, n.flg_ajustado, h.columna AS columna_h,
-                    n.columna AS columna_nh
-             FROM no_habiles n
-             LEFT JOIN habiles h ON h.fecha_corte = n.fecha_corte AND h.fec_fecha_iso = n.fec_fecha_iso""",
+    final="""SELECT fecha_corte, fecha, CAST(working AS INTEGER) AS working,
+                    CASE WHEN flag = 1 THEN flagged END AS business_number, day_number
+             FROM numbered""",
 )
-ORACLE["prior_lookback_holidays"] = _with(*CALENDAR, BACKWARD_SQL, final="SELECT * FROM b1")
+ORACLE["prior_lookback_holidays"] = _with(*CALENDAR, BACKWARD_SQL, final="SELECT * FROM prior")
 ORACLE["backward_buckets"] = _with(*CALENDAR, BACKWARD_SQL, final="SELECT * FROM atras")
 ORACLE["next_business_day"] = _with(*CALENDAR, NEXT_SQL, final="SELECT * FROM siguiente")
 ORACLE["gap_days"] = _with(*CALENDAR, NEXT_SQL, GAP_SQL, final="SELECT * FROM b4")
@@ -156,14 +135,13 @@ saldos AS (
 saldos_08 AS (SELECT * FROM saldos WHERE uc = '08')"""
 
 CONTROL_SQL = """
-total_08 AS (SELECT uc, fecha, sum(saldo) AS valor FROM saldos_08 GROUP BY uc, fecha),
-total_2117 AS (SELECT uc, fecha, sum(saldo) AS valor FROM saldos_08 WHERE cuenta = '2117' GROUP BY uc, fecha),
 control AS (
-  SELECT a.fecha AS fecha_corte, t.uc, t.fecha, a.columna,
-         CAST(t.valor AS DECIMAL(38,0)) AS valor_contable, CAST(k.valor AS DECIMAL(38,0)) AS valor_2117
-  FROM total_08 t
-  JOIN total_2117 k ON t.uc = k.uc AND t.fecha = k.fecha
-  JOIN atras a ON a.fecha = t.fecha AND a.fecha_corte = t.fecha
+  SELECT a.fecha_corte, s.uc, s.fecha, a.columna,
+         CAST(sum(s.saldo) AS DECIMAL(38,0)) AS valor_contable,
+         CAST(sum(s.saldo) FILTER (s.cuenta = '2117') AS DECIMAL(38,0)) AS valor_2117
+  FROM saldos_08 s JOIN atras a ON a.fecha = s.fecha AND a.fecha_corte = s.fecha
+  GROUP BY a.fecha_corte, s.uc, s.fecha, a.columna
+  HAVING bool_or(s.cuenta = '2117')
 )"""
 
 

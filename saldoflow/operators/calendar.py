@@ -40,21 +40,24 @@ _BACKWARD_RANGES = {
     CUT_DAY: f"'{CUT_DAY}', antes + 1, hasta",
 }
 _BY_PART = "OVER (PARTITION BY fecha_corte, tramo ORDER BY fecha)"
-_BY_FLAG = "OVER (PARTITION BY fecha_corte, tramo, flg_ajustado ORDER BY fecha)"
-
-# Days off and Saturdays, except a holiday Thursday before a working Friday. Three-valued on purpose: for the
-# last row the next day is NULL, so a holiday Thursday there makes the predicate NULL and the row is dropped.
-_KEPT_PRIOR = f"""
-    (flg_dia_habil = 0 OR nom_dia_semana = '{SATURDAY}')
-    AND NOT (nom_dia_semana = '{THURSDAY}' AND flg_dia_habil = 0
-             AND dia_siguiente = '{FRIDAY}' AND flg_siguiente = 1)"""
-
+_SO_FAR = "OVER (PARTITION BY fecha_corte, tramo ORDER BY fecha ROWS UNBOUNDED PRECEDING)"
+
+_OFF = f"(flg_dia_habil = 0 OR nom_dia_semana = '{SATURDAY}')"
+# A holiday Thursday before a working Friday. Three-valued on purpose: the last row has no next day, so a holiday
+# Thursday there is neither kept nor left out by the rule, and a filter drops it.
+_BRIDGE = f"""(nom_dia_semana = '{THURSDAY}' AND flg_dia_habil = 0
+               AND next_weekday = '{FRIDAY}' AND next_flag = 1)"""
+_KEPT_PRIOR = f"({_OFF} AND NOT {_BRIDGE})"
+
+# A working day takes its number among the flagged days; a day off takes the number after the working days so far.
+_LOOKBACK_BUCKET = f"""
+    CASE WHEN NOT {_OFF} THEN flagged_so_far
+         WHEN nom_dia_semana = '{THURSDAY}' THEN {CUT_BUCKET}
+         ELSE working_so_far + 1 END"""
 _BACKWARD_BUCKET = f"""
-    CASE WHEN tramo = '{PRIOR}' THEN {PRIOR_BUCKET}
-         WHEN tramo = '{CUT_DAY}' THEN IF(flg_dia_habil = 1, {CUT_BUCKET}, {GAP_BUCKET})
-         WHEN flg_ajustado = 1 THEN columna_h
-         WHEN flg_ajustado = 0 AND nom_dia_semana = '{THURSDAY}' THEN {CUT_BUCKET}
-         ELSE columna_nh - columna_ref + 1 END"""
+    CASE tramo WHEN '{PRIOR}' THEN {PRIOR_BUCKET}
+               WHEN '{CUT_DAY}' THEN IF(flg_dia_habil = 1, {CUT_BUCKET}, {GAP_BUCKET})
+               ELSE {_LOOKBACK_BUCKET} END"""
 
 
 def _backward_rows(line: DataFrame, *parts: str) -> DataFrame:
@@ -64,21 +67,19 @@ def _backward_rows(line: DataFrame, *parts: str) -> DataFrame:
     return pick_positions(ranges, line).select("fecha_corte", "tramo", "fecha", "flg_dia_habil", "nom_dia_semana")
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Business-day number (raw flag), all-days number and number within the adjusted flag."""
+def _with_counts(rows: DataFrame) -> DataFrame:
+    """Day number and running counts of flagged and of working days; one window, one sort."""
     return rows.selectExpr(
-        "*", f"CASE WHEN nom_dia_semana = '{SATURDAY}' THEN 0 ELSE flg_dia_habil END AS flg_ajustado"
-    ).selectExpr(
         "*",
-        f"CASE WHEN flg_dia_habil = 1 THEN count_if(flg_dia_habil = 1) {_BY_PART} END AS columna_h",
-        f"CAST(row_number() {_BY_PART} AS BIGINT) AS columna_nh",
-        f"CAST(row_number() {_BY_FLAG} AS BIGINT) AS columna_ref",
+        f"count_if(flg_dia_habil = 1) {_SO_FAR} AS flagged_so_far",
+        f"count_if(NOT {_OFF}) {_SO_FAR} AS working_so_far",
+        f"count(*) {_SO_FAR} AS day_number",
     )
 
 
 def _with_next_day(rows: DataFrame) -> DataFrame:
     return rows.selectExpr(
-        "*", f"lead(flg_dia_habil) {_BY_PART} AS flg_siguiente", f"lead(nom_dia_semana) {_BY_PART} AS dia_siguiente"
+        "*", f"lead(flg_dia_habil) {_BY_PART} AS next_flag", f"lead(nom_dia_semana) {_BY_PART} AS next_weekday"
     )
 
 
@@ -175,12 +176,16 @@ class CutCalendar:
         )
 
     def business_day_numbers(self) -> DataFrame:
-        """Numbering of the lookback window: business days by raw flag, and all days.
+        """Numbering of the lookback window: flagged days among themselves, and all days.
 
-        A Saturday whose flag is 1 uses up a business-day number although its adjusted flag is 0.
+        A Saturday whose flag is 1 uses up a number although it does not count as working.
         """
-        return _numbered(_backward_rows(self._line, LOOKBACK)).select(
-            "fecha_corte", "fecha", "flg_ajustado", "columna_h", "columna_nh"
+        return _with_counts(_backward_rows(self._line, LOOKBACK)).selectExpr(
+            "fecha_corte",
+            "fecha",
+            f"IF({_OFF}, 0, 1) AS working",
+            "IF(flg_dia_habil = 1, flagged_so_far, NULL) AS business_number",
+            "day_number",
         )
 
     def prior_lookback_holidays(self) -> DataFrame:
@@ -190,7 +195,7 @@ class CutCalendar:
 
     def backward_buckets(self) -> DataFrame:
         """Buckets of the days up to the cut: prior days off, the lookback window and the cut day itself."""
-        rows = _with_next_day(_numbered(_backward_rows(self._line, PRIOR, LOOKBACK, CUT_DAY)))
+        rows = _with_next_day(_with_counts(_backward_rows(self._line, PRIOR, LOOKBACK, CUT_DAY)))
         kept = rows.filter(f"CASE WHEN tramo = '{PRIOR}' THEN {_KEPT_PRIOR} ELSE true END")
         return _bucket_rows(kept, "nom_dia_semana", _BACKWARD_BUCKET)
 

@@ -84,6 +84,8 @@ def adjusted_residual(contable: str = "valor_contable", total: str = "valor_form
     return (F.col(contable) - F.col(total)) + F.col(value)
 
 
-def reported_value(value: str = "valor", adjusted: str = "valor_sfc", segment: str = "sub", exempt=EXEMPT_SEGMENTS) -> Column:
+def reported_value(
+    value: str = "valor", adjusted: str = "valor_sfc", segment: str = "sub", exempt=EXEMPT_SEGMENTS
+) -> Column:
     """The adjusted value, or the plain one for exempt segments."""
     return F.when(F.col(segment).isin(*exempt), F.col(value).cast("double")).otherwise(F.col(adjusted))
