@@ -1,16 +1,16 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
 1. Every document becomes the set of its word shingles. Documents with equal sets form one class, which takes part once.
-2. The ``SKETCH`` least shingle hashes of a set are its sketch. Each of the ``LISTED`` least values puts the set in an
-   inverted list. Two sets of similarity J share none of these values with probability (1 - J)^LISTED at most, that is
-   1e-10 at J = 0.85; sets that fit whole into a list are never missed.
+2. The ``SKETCH`` least shingle hashes of a set are its sketch. Each two neighbours among the ``LISTED`` least values
+   put the set in an inverted list. Sets of similarity J share a list unless no two neighbours in the order of their
+   union lie in both; at J = 0.85 that has a probability of 3e-9. Single values would list far more sets that merely
+   share a passage.
 3. Short lists give all their pairs, long lists give a star around their least member. The bottom-k sketch of the union
    of both sets, estimated from both sketches, drops pairs that are 6.5 standard deviations below the threshold.
 4. The rest is verified on full sets, and verified links are contracted to components.
-5. A long list whose members are in several components still hides links. It is refined: its members go to lists keyed
-   by one more of the next retained values, which splits sets that merely share a passage, and step 3 follows again.
-   Lists that stay long after ``DEPTH`` refinements are joined in full across components, so that none is capped.
-   Pairs inside a component need no test: they cannot change the result.
+5. Long lists with members of several components can hide links. They give a star around their greatest member, and
+   where that leaves several components, all pairs across components. Pairs inside a component need no test, because
+   they cannot change the result. No list is capped.
 
 Rows are nodes, so repeated ids are allowed. A document without words (or with null text) has no shingles and links
 with nothing. A null id keeps its row; it never becomes the id of a component that has another. Extra columns are
@@ -22,19 +22,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from saldoflow.llm.components import components
 from saldoflow.llm.scratch import BitFilter, Scratch
 from saldoflow.llm.words import mix, shingle_slices
 
-SKETCH, LISTED, NEXT = 64, 12, 4
+SKETCH, LISTED = 64, 24
 SHORT_LIST = 8
-DEPTH = 3
 LEAST_SIMILARITY = 85  # per cent
 
 _SIGNATURE = "doc_id long, n_shingles long, sid binary, sketch array<long>, place long"
@@ -76,6 +73,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets_of_some(places: BitFilter):
     """The full sets of documents that pass the filter, a little at a time."""
 
+    def batch_of(sids: list[bytes], sets: list[np.ndarray]) -> pa.RecordBatch:
+        ends = pa.array(np.cumsum([0, *map(len, sets)], dtype=np.int32))
+        flat = pa.array(np.concatenate(sets) if sets else np.zeros(0, dtype=np.int64))
+        return pa.record_batch([pa.array(sids, pa.binary()), pa.ListArray.from_arrays(ends, flat)], names=["sid", "shingles"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(places.passes(_place(batch.column(0)))))
@@ -85,30 +87,16 @@ def _sets_of_some(places: BitFilter):
                 if not len(values):
                     continue
                 sids.append(_sid(values))
-                sets.append(values.tobytes())
-                size += len(sets[-1])
-                if size > 1 << 23:
-                    yield pa.record_batch([pa.array(sids, pa.binary()), pa.array(sets, pa.binary())], names=["sid", "shingles"])
+                sets.append(values)
+                size += len(values)
+                if size > 1 << 19:
+                    yield batch_of(sids, sets)
                     sids, sets, size = [], [], 0
-            yield pa.record_batch([pa.array(sids, pa.binary()), pa.array(sets, pa.binary())], names=["sid", "shingles"])
+            yield batch_of(sids, sets)
 
     return run
 
 
-@F.pandas_udf(T.LongType())
-def _common(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Size of the intersection of two sets held as sorted int64."""
-    out = np.empty(len(a), dtype=np.int64)
-    for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        x, y = np.frombuffer(x, dtype=np.int64), np.frombuffer(y, dtype=np.int64)
-        if len(x) > len(y):
-            x, y = y, x
-        at = np.searchsorted(y, x)
-        at[at == len(y)] = 0
-        out[i] = np.count_nonzero(y[at] == x) if len(y) else 0
-    return pd.Series(out)
-
-
 def _may_reach(threshold: int) -> Column:
     """Whether the sketch of the union allows the similarity; exact where the sketch holds the whole union."""
     p = threshold / 100
@@ -132,9 +120,9 @@ class _Links:
         )
         self.full: DataFrame | None = None
         self.tested: DataFrame | None = None
-        self.edges: DataFrame | None = None
+        self.roots: DataFrame | None = None
 
-    def verify(self, pairs: DataFrame) -> bool:
+    def verify(self, pairs: DataFrame, likely_later: DataFrame | None = None) -> bool:
         """Adds the links among ``pairs (a, b)``; false if no pair was left to test."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.tested is not None:
@@ -144,72 +132,66 @@ class _Links:
         likely, seen = self.scratch.save_measured(likely, n=F.count("*"))
         if not seen["n"]:
             return False
-        self._read_full(likely)
+        self._read_full(likely, likely_later)
         full = lambda c: self.full.select(F.col("sid").alias(c), F.col("shingles").alias(f"set_{c}"))
-        judged = likely.join(full("a"), "a").join(full("b"), "b").select("a", "b", "n_a", "n_b", _common("set_a", "set_b").alias("common"))
-        linked = judged.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * self.threshold).select("a", "b")
-        linked = self.scratch.save(linked)
+        common = F.size(F.array_intersect("set_a", "set_b"))
+        judged = likely.join(full("a"), "a").join(full("b"), "b").select("a", "b", (F.col("n_a") + F.col("n_b")).alias("both"), common.alias("common"))
+        linked = self.scratch.save(judged.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * self.threshold).select("a", "b"))
         self.tested = likely.select("a", "b") if self.tested is None else self.tested.union(likely.select("a", "b"))
-        self.edges = linked if self.edges is None else self.edges.union(linked)
+        edges = linked if self.roots is None else linked.union(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        self.roots = self.scratch.save(components(edges, self.scratch))
         return True
 
-    def _read_full(self, likely: DataFrame) -> None:
-        wanted = likely.selectExpr("explode(array(a, b)) AS sid").distinct()
+    def _read_full(self, likely: DataFrame, later: DataFrame | None) -> None:
+        """Reads the documents again for the full sets of some classes; sets that later rounds need come along."""
+        wanted = likely.selectExpr("explode(array(a, b)) AS sid")
+        wanted = (wanted if later is None else wanted.union(later)).distinct()
         if self.full is not None:
             wanted = wanted.join(self.full.select("sid"), "sid", "left_anti")
         places, seen = self.scratch.save_measured(self.sets.join(wanted, "sid", "left_semi").select("sid", "place"), n=F.count("*"))
         if not seen["n"]:
             return
-        found = self.docs.mapInArrow(_sets_of_some(BitFilter.of(places, "place", seen["n"])), "sid binary, shingles binary")
+        found = self.docs.mapInArrow(_sets_of_some(BitFilter.of(places, "place", seen["n"])), "sid binary, shingles array<long>")
         # Equal sets may come from several documents; one row each is enough.
-        found = found.join(places.select("sid"), "sid", "left_semi").groupBy("sid").agg(F.first("shingles").alias("shingles"))
+        found = found.join(places.select("sid"), "sid", "left_semi").dropDuplicates(["sid"])
         found = self.scratch.save(found)
         self.full = found if self.full is None else self.full.union(found)
 
-    def roots(self) -> DataFrame | None:
-        return None if self.edges is None else self.scratch.save(components(self.edges, self.scratch))
+    def with_roots(self, rows: DataFrame) -> DataFrame:
+        if self.roots is None:
+            return rows.withColumn("root", F.col("sid"))
+        return rows.join(self.roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
 
+    def unresolved(self, lists: DataFrame) -> DataFrame:
+        """The long lists with members of several components, with the component of each member."""
+        known = self.with_roots(lists)
+        open_keys = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+        return known.join(open_keys, "key")
 
-def _star_and_short(lists: DataFrame) -> DataFrame:
-    """Pairs of every list ``(key, sid)``: all of a short one, and the least member with each other of a long one."""
-    sizes = lists.groupBy("key").agg(F.count("*").alias("size"), F.min("sid").alias("least")).where("size > 1")
-    stars = lists.join(sizes, "key").where("sid <> least").select(F.col("least").alias("a"), F.col("sid").alias("b"))
-    short = sizes.where(f"size BETWEEN 3 AND {SHORT_LIST}").select("key")
-    short = lists.join(short, "key")
-    pairs = short.select("key", F.col("sid").alias("a")).join(short.select("key", F.col("sid").alias("b")), "key").where("a < b")
-    return stars.union(pairs.select("a", "b"))
 
+def _keys() -> Column:
+    """One key for each two neighbours among the least values; a set with one value has one key."""
+    last = F.least(F.size("sketch"), F.lit(LISTED)) - 2
+    return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(F.get("sketch", i), F.get("sketch", i + 1)))
 
-def _unresolved(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """The long lists with members of several components, with the component of each member."""
-    if roots is None:
-        known = lists.withColumn("root", F.col("sid"))
-    else:
-        known = lists.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    open_keys = known.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-    open_keys = open_keys.where(f"size > {SHORT_LIST} AND low <> high").select("key")
-    return known.join(open_keys, "key")
 
-
-def _similar_sets(docs: DataFrame, scratch: Scratch, threshold: int) -> tuple[DataFrame, DataFrame | None]:
+def _similar_sets(docs: DataFrame, scratch: Scratch, threshold: int) -> _Links:
     links = _Links(docs, scratch, threshold)
-    lists = scratch.save(links.sets.select("sid", F.posexplode(F.slice("sketch", 1, LISTED)).alias("pos", "key")))
-    roots = None
-    for depth in range(DEPTH + 1):
-        if links.verify(_star_and_short(lists)):
-            roots = links.roots()
-        rest, seen = scratch.save_measured(_unresolved(lists, roots), n=F.count("*"))
-        if not seen["n"]:
-            return links.rows, roots
-        if depth < DEPTH:
-            after = F.explode(F.arrays_zip(F.sequence(F.col("pos") + 1, F.col("pos") + NEXT), F.slice("sketch", F.col("pos") + 2, NEXT)))
-            longer = rest.join(links.sets.select("sid", "sketch"), "sid").select("sid", "key", after.alias("next"))
-            longer = longer.select("sid", F.col("next.0").cast("int").alias("pos"), F.xxhash64("key", "next.1").alias("key"), F.col("next.1").alias("value"))
-            lists = scratch.save(longer.where("value IS NOT NULL").drop("value").dropDuplicates(["sid", "key"]))
-    left, right = (rest.select("key", F.col("sid").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-    if links.verify(left.join(right, "key").where("a < b AND root_a <> root_b").select("a", "b")):
-        roots = links.roots()
-    return links.rows, roots
+    lists = links.sets.select("sid", F.explode(_keys()).alias("key"))
+    sizes = lists.groupBy("key").agg(F.count("*").alias("size"), F.min("sid").alias("least"), F.max("sid").alias("greatest")).where("size > 1")
+    shared = scratch.save(lists.join(sizes, "key"))
+    star = shared.where("sid <> least").select(F.col("least").alias("a"), F.col("sid").alias("b"))
+    short = shared.where(f"size BETWEEN 3 AND {SHORT_LIST}").select("key", "sid")
+    pairs = short.withColumnRenamed("sid", "a").join(short.withColumnRenamed("sid", "b"), "key").where("a < b").select("a", "b")
+    long = shared.where(f"size > {SHORT_LIST}")
+    links.verify(star.union(pairs), long.select("sid"))
+    rest, seen = scratch.save_measured(links.unresolved(long.select("key", "sid", "greatest")), n=F.count("*"))
+    if seen["n"] and links.verify(rest.where("sid <> greatest").select(F.col("sid").alias("a"), F.col("greatest").alias("b"))):
+        rest, seen = scratch.save_measured(links.unresolved(rest.select("key", "sid")), n=F.count("*"))
+    if seen["n"]:
+        left, right = (rest.select("key", F.col("sid").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
+        links.verify(left.join(right, "key").where("a < b AND root_a <> root_b").select("a", "b"))
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = LEAST_SIMILARITY) -> DataFrame:
@@ -219,11 +201,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a row is kept if it has that id.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
-    rows, roots = _similar_sets(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), scratch, threshold)
-    if roots is None:
-        named = rows.withColumn("root", F.col("sid"))
-    else:
-        named = rows.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    links = _similar_sets(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), scratch, threshold)
+    named = links.with_roots(links.rows.select("doc_id", "n_shingles", "sid"))
     least = named.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     return named.join(least, "root", "left").select(
         "doc_id",

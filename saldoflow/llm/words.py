@@ -44,7 +44,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def _hash_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hash_words(data: np.ndarray, breaks: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words in ``data``; a word also ends at each offset in ``breaks``."""
     n = len(data)
     if n == 0:
@@ -64,7 +64,7 @@ def _hash_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.nd
     up, down = _power_tables(n)
     sums = np.empty(n + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum(_LOWER[data] * up[:n], out=sums[1:])
+    np.cumsum((_LOWER[data] if fold else data) * up[:n], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
     return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), starts, ends
 
@@ -95,11 +95,13 @@ def _pieces(data: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def word_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def word_slices(
+    texts: pa.Array, size: int = SLICE_BYTES, fold: bool = True
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Yields (first, last, hashes, bounds, starts, ends) for consecutive texts.
 
     ``hashes[bounds[i]:bounds[i + 1]]`` are the words of text ``first + i``; ``starts`` and ``ends`` are their byte
-    offsets in the text.
+    offsets in the text. Without ``fold`` the hash tells upper from lower case.
     """
     data, offsets = buffers(texts)
     first = 0
@@ -108,14 +110,14 @@ def word_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int,
         last = min(max(last, first + 1), len(offsets) - 1)
         part = data[offsets[first] : offsets[last]]
         if last == first + 1 and len(part) > size:
-            found = [(*_hash_words(part[a:b], np.zeros(0, dtype=np.int64)), a) for a, b in _pieces(part, size)]
+            found = [(*_hash_words(part[a:b], np.zeros(0, dtype=np.int64), fold), a) for a, b in _pieces(part, size)]
             hashes = np.concatenate([x[0] for x in found])
             starts = np.concatenate([x[1] + x[3] for x in found])
             ends = np.concatenate([x[2] + x[3] for x in found])
             bounds = np.array([0, len(hashes)])
         else:
             local = offsets[first : last + 1] - offsets[first]
-            hashes, starts, ends = _hash_words(part, local)
+            hashes, starts, ends = _hash_words(part, local, fold)
             bounds = np.searchsorted(starts, local)
             shift = np.repeat(local[:-1], np.diff(bounds))
             starts, ends = starts - shift, ends - shift
