@@ -1,16 +1,18 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
 1. Every document becomes the set of its word shingles. Documents with equal sets form one class, which takes part once.
-2. The ``SKETCH`` least shingle hashes of a set are its sketch. Each two neighbours among the ``LISTED`` least values
-   put the set in an inverted list. Sets of similarity J share a list unless no two neighbours in the order of their
-   union lie in both; at J = 0.85 that has a probability of 3e-9. Single values would list far more sets that merely
-   share a passage.
+2. The ``SKETCH`` least shingle hashes of a set are its sketch. Each ``RUN`` neighbours among the ``LISTED`` least values
+   put the set in an inverted list. Sets of similarity J share a list unless no run of that many neighbours in the
+   order of their union lies in both; at J = 0.85 that has a probability of 1e-8. Single values would list far more
+   sets that merely share a passage.
 3. Short lists give all their pairs, long lists give a star around their least member. The bottom-k sketch of the union
    of both sets, estimated from both sketches, drops pairs that are 6.5 standard deviations below the threshold.
 4. The rest is verified on full sets, and verified links are contracted to components.
-5. Long lists with members of several components can hide links. They give a star around their greatest member, and
-   where that leaves several components, all pairs across components. Pairs inside a component need no test, because
-   they cannot change the result. No list is capped.
+5. Long lists with members of several components can hide links. Their members are clustered by the pairs of the stars with
+   an estimated similarity of ``LOOSE`` at least; each cluster is cut into blocks of bounded size, and a task compares the full sets of two blocks and returns
+   a spanning forest of the links, so that a group of near copies never becomes a list of pairs. Members of one list
+   in different clusters and components are compared by their sketches in the same way, and only pairs that
+   may reach the threshold leave the task to be verified. No list is capped.
 
 Rows are nodes, so repeated ids are allowed. A document without words (or with null text) has no shingles and links
 with nothing. A null id keeps its row; it never becomes the id of a component that has another. Extra columns are
@@ -22,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +33,10 @@ from saldoflow.llm.components import components
 from saldoflow.llm.scratch import BitFilter, Scratch
 from saldoflow.llm.words import mix, shingle_slices
 
-SKETCH, LISTED = 64, 24
+SKETCH, LISTED, RUN = 64, 42, 3
 SHORT_LIST = 8
+LOOSE = 35  # per cent
+BLOCK_SETS, BLOCK_SHINGLES, COLUMNS = 1024, 1 << 20, 4096
 LEAST_SIMILARITY = 85  # per cent
 
 _SIGNATURE = "doc_id long, n_shingles long, sid binary, sketch array<long>, place long"
@@ -97,14 +102,124 @@ def _sets_of_some(places: BitFilter):
     return run
 
 
-def _may_reach(threshold: int) -> Column:
-    """Whether the sketch of the union allows the similarity; exact where the sketch holds the whole union."""
+def _keys_of(sketch: np.ndarray) -> np.ndarray:
+    """One key for each run of neighbours among the least values; a set with fewer values has one key."""
+    x = sketch[:LISTED].view(np.uint64)
+    run = min(RUN, len(x))
+    total = np.full(len(x) - run + 1, run, dtype=np.uint64)
+    for k in range(run):
+        total = total * np.uint64(0xA0761D6478BD642F) + x[k : len(x) - run + 1 + k]
+    return mix(total)
+
+
+def _listing(repeated: BitFilter | None):
+    """``(key)`` of all sets, or ``(key, sid)`` where the filter passes the key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketches = batch.column(1)
+            keys = [_keys_of(x.values.to_numpy()) for x in sketches] or [np.zeros(0, dtype=np.uint64)]
+            owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+            keys = np.concatenate(keys)
+            if repeated is None:
+                yield pa.record_batch([pa.array(keys.view(np.int64))], names=["key"])
+                continue
+            kept = np.flatnonzero(repeated.passes(keys))
+            sids = batch.column(0).take(pa.array(owner[kept]))
+            yield pa.record_batch([pa.array(keys[kept].view(np.int64)), sids], names=["key", "sid"])
+
+    return run
+
+
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of a graph given as a symmetric matrix."""
+    new, edges = np.ones(len(linked), dtype=bool), []
+    for start in range(len(linked)):
+        if not new[start]:
+            continue
+        new[start], front = False, np.array([start])
+        while len(front):
+            rows = linked[front]
+            reached = np.flatnonzero(rows.any(axis=0) & new)
+            parents = front[rows[:, reached].argmax(axis=0)] if len(reached) else reached
+            edges += zip(parents.tolist(), reached.tolist(), strict=True)
+            new[reached], front = False, reached
+    return edges
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections, from the values that several sets hold, a few columns at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    frequent = np.flatnonzero(count > 1)
+    dense = np.full(len(count), -1)
+    dense[frequent] = np.arange(len(frequent))
+    column = dense[column]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for low in range(0, len(frequent), COLUMNS):
+        part = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        held = np.zeros((len(sets), min(COLUMNS, len(frequent) - low)), dtype=np.float32)
+        held[owner[part], column[part] - low] = 1
+        common += held @ held.T
+    return common
+
+
+def _links_in_blocks(threshold: int):
+    """The links among full sets, as a spanning forest."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("sid")
+        sets = [np.asarray(x, dtype=np.int64) for x in group["shingles"]]
+        sizes = np.array([len(x) for x in sets])
+        common = _common(sets)
+        linked = common * 100 >= (sizes[:, None] + sizes[None, :] - common) * threshold
+        np.fill_diagonal(linked, False)
+        sids = group["sid"].tolist()
+        return pd.DataFrame([(sids[i], sids[j]) for i, j in _forest(linked)], columns=["a", "b"])
+
+    return run
+
+
+def _pairs_in_blocks(threshold: int):
+    """The pairs in different clusters and components whose sketches have enough in common to be estimated."""
+    least = _least_shared(threshold)
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("sid")
+        sets = [np.asarray(x, dtype=np.int64) for x in group["sketch"]]
+        sizes = np.minimum([len(x) for x in sets], SKETCH)
+        needed = np.minimum(least, np.minimum(sizes[:, None], sizes[None, :]) * (threshold / 100))
+        found = np.triu(_common(sets) >= needed, 1)
+        for name in ("root", "cluster"):
+            code = pd.factorize(group[name])[0]
+            found &= code[:, None] != code[None, :]
+        sids = group["sid"].tolist()
+        return pd.DataFrame([(sids[i], sids[j]) for i, j in zip(*np.nonzero(found), strict=True)], columns=["a", "b"])
+
+    return run
+
+
+def _in_blocks(members: DataFrame, group: str, blocks: DataFrame) -> DataFrame:
+    """Members once for every pair of blocks of their group that they belong to: ``blocks (group, blocks)``."""
+    member = members.join(blocks, group).withColumn("block", F.expr("CAST(pmod(xxhash64(sid), blocks) AS int)"))
+    # Block i meets every block; a block that is alone meets itself.
+    member = member.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).where("block <> other OR blocks = 1")
+    return member.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("block", "other", "blocks")
+
+
+def _least_shared(threshold: int) -> int:
     p = threshold / 100
-    least = int(np.floor(p * SKETCH - 6.5 * np.sqrt(SKETCH * p * (1 - p))))
-    union = F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, SKETCH)
-    shared = F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union))
+    return int(np.floor(p * SKETCH - 6.5 * np.sqrt(SKETCH * p * (1 - p))))
+
+
+def _estimate(threshold: int) -> tuple[Column, Column]:
+    """Whether the sketch of the union allows the similarity (exact where it holds the whole union), and whether it is ``LOOSE`` at least."""
+    least = _least_shared(threshold)
     sizes = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold
-    return sizes & F.when(F.size(union) < SKETCH, shared * 100 >= F.size(union) * threshold).otherwise(shared >= least)
+    reach = sizes & F.when(F.col("places") < SKETCH, F.col("shared") * 100 >= F.col("places") * threshold).otherwise(F.col("shared") >= least)
+    return reach, F.col("shared") * 100 >= F.col("places") * LOOSE
 
 
 class _Links:
@@ -118,8 +233,10 @@ class _Links:
             .groupBy("sid")
             .agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.min("place").alias("place"))
         )
+        self.near = self.sets
         self.full: DataFrame | None = None
         self.tested: DataFrame | None = None
+        self.loose: DataFrame | None = None
         self.roots: DataFrame | None = None
 
     def verify(self, pairs: DataFrame, likely_later: DataFrame | None = None) -> bool:
@@ -127,25 +244,34 @@ class _Links:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        side = lambda c: self.sets.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-        likely = pairs.join(side("a"), "a").join(side("b"), "b").where(_may_reach(self.threshold)).select("a", "b", "n_a", "n_b")
-        likely, seen = self.scratch.save_measured(likely, n=F.count("*"))
+        side = lambda c: self.near.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+        met = pairs.join(side("a"), "a").join(side("b"), "b")
+        met = met.withColumn("union", F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, SKETCH))
+        met = met.withColumn("shared", F.size(F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), "union"))).withColumn("places", F.size("union"))
+        reach, loose = _estimate(self.threshold)
+        met = met.select("a", "b", "n_a", "n_b", reach.alias("reach"), loose.alias("loose")).where("reach OR loose")
+        met, seen = self.scratch.save_measured(met, n=F.count_if("reach"), loose=F.count("*"))
+        self.loose = met.select("a", "b") if self.loose is None else self.loose
+        likely = met.where("reach").drop("reach", "loose")
         if not seen["n"]:
             return False
-        self._read_full(likely, likely_later)
+        wanted = likely.selectExpr("explode(array(a, b)) AS sid")
+        self._read_full(wanted if likely_later is None else wanted.union(likely_later))
         full = lambda c: self.full.select(F.col("sid").alias(c), F.col("shingles").alias(f"set_{c}"))
         common = F.size(F.array_intersect("set_a", "set_b"))
         judged = likely.join(full("a"), "a").join(full("b"), "b").select("a", "b", (F.col("n_a") + F.col("n_b")).alias("both"), common.alias("common"))
         linked = self.scratch.save(judged.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * self.threshold).select("a", "b"))
         self.tested = likely.select("a", "b") if self.tested is None else self.tested.union(likely.select("a", "b"))
+        self.add(linked)
+        return True
+
+    def add(self, linked: DataFrame) -> None:
         edges = linked if self.roots is None else linked.union(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         self.roots = self.scratch.save(components(edges, self.scratch))
-        return True
 
-    def _read_full(self, likely: DataFrame, later: DataFrame | None) -> None:
+    def _read_full(self, wanted: DataFrame) -> None:
         """Reads the documents again for the full sets of some classes; sets that later rounds need come along."""
-        wanted = likely.selectExpr("explode(array(a, b)) AS sid")
-        wanted = (wanted if later is None else wanted.union(later)).distinct()
+        wanted = wanted.distinct()
         if self.full is not None:
             wanted = wanted.join(self.full.select("sid"), "sid", "left_anti")
         places, seen = self.scratch.save_measured(self.sets.join(wanted, "sid", "left_semi").select("sid", "place"), n=F.count("*"))
@@ -168,29 +294,49 @@ class _Links:
         open_keys = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
         return known.join(open_keys, "key")
 
+    def compare_clusters(self, clustered: DataFrame) -> None:
+        """Adds the links inside each cluster of ``(sid, cluster)``, block against block."""
+        self._read_full(clustered.select("sid"))
+        sized = clustered.join(self.sets.select("sid", "n"), "sid")
+        blocks = F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+        counts = sized.groupBy("cluster").agg(F.count("*").alias("members"), blocks.alias("blocks")).where("members > 1").drop("members")
+        member = _in_blocks(clustered, "cluster", counts).join(self.full, "sid")
+        found = member.groupBy("cluster", "i", "j").applyInPandas(_links_in_blocks(self.threshold), "a binary, b binary")
+        self.add(self.scratch.save(found))
 
-def _keys() -> Column:
-    """One key for each two neighbours among the least values; a set with one value has one key."""
-    last = F.least(F.size("sketch"), F.lit(LISTED)) - 2
-    return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(F.get("sketch", i), F.get("sketch", i + 1)))
+    def compare_lists(self, rest: DataFrame) -> None:
+        """Adds the links between clusters inside each list of ``(key, sid, root, cluster)``."""
+        counts = rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+        member = _in_blocks(rest, "key", counts).join(self.near.select("sid", "sketch"), "sid")
+        found = member.groupBy("key", "i", "j").applyInPandas(_pairs_in_blocks(self.threshold), "a binary, b binary")
+        self.verify(found)
 
 
 def _similar_sets(docs: DataFrame, scratch: Scratch, threshold: int) -> _Links:
     links = _Links(docs, scratch, threshold)
-    lists = links.sets.select("sid", F.explode(_keys()).alias("key"))
-    sizes = lists.groupBy("key").agg(F.count("*").alias("size"), F.min("sid").alias("least"), F.max("sid").alias("greatest")).where("size > 1")
-    shared = scratch.save(lists.join(sizes, "key"))
-    star = shared.where("sid <> least").select(F.col("least").alias("a"), F.col("sid").alias("b"))
-    short = shared.where(f"size BETWEEN 3 AND {SHORT_LIST}").select("key", "sid")
+    sketches = links.sets.select("sid", "sketch")
+    repeated = sketches.mapInArrow(_listing(None), "key long").groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    repeated, seen = scratch.save_measured(repeated, n=F.count("*"))
+    if not seen["n"]:
+        return links
+    lists = sketches.mapInArrow(_listing(BitFilter.of(repeated, "key", seen["n"])), "key long, sid binary")
+    lists = scratch.save(lists.join(repeated, "key"))
+    links.near = scratch.save(links.sets.join(lists.select("sid").distinct(), "sid", "left_semi"))
+    least = lists.groupBy("key").agg(F.min("sid").alias("least"))
+    star = lists.join(least, "key").where("sid <> least").select(F.col("least").alias("a"), F.col("sid").alias("b"))
+    short = lists.where(f"size BETWEEN 3 AND {SHORT_LIST}").select("key", "sid")
     pairs = short.withColumnRenamed("sid", "a").join(short.withColumnRenamed("sid", "b"), "key").where("a < b").select("a", "b")
-    long = shared.where(f"size > {SHORT_LIST}")
+    long = lists.where(f"size > {SHORT_LIST}").select("key", "sid")
     links.verify(star.union(pairs), long.select("sid"))
-    rest, seen = scratch.save_measured(links.unresolved(long.select("key", "sid", "greatest")), n=F.count("*"))
-    if seen["n"] and links.verify(rest.where("sid <> greatest").select(F.col("sid").alias("a"), F.col("greatest").alias("b"))):
-        rest, seen = scratch.save_measured(links.unresolved(rest.select("key", "sid")), n=F.count("*"))
+    rest, seen = scratch.save_measured(links.unresolved(long), n=F.count("*"))
+    if not seen["n"]:
+        return links
+    clusters = scratch.save(components(links.loose, scratch)).select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
+    links.compare_clusters(clusters.join(rest.select("sid").distinct(), "sid"))
+    rest = links.unresolved(rest.select("key", "sid")).join(clusters, "sid", "left").withColumn("cluster", F.coalesce("cluster", "sid"))
+    rest, seen = scratch.save_measured(rest, n=F.count("*"))
     if seen["n"]:
-        left, right = (rest.select("key", F.col("sid").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-        links.verify(left.join(right, "key").where("a < b AND root_a <> root_b").select("a", "b"))
+        links.compare_lists(rest)
     return links
 
 
