@@ -16,6 +16,8 @@ SLICE_BYTES = 1 << 21
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_MARK = np.ones(256, dtype=bool)
+_MARK[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -44,13 +46,22 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size]
 
 
-def _hash_words(data: np.ndarray, breaks: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def fold_latin(data: np.ndarray) -> np.ndarray:
+    """Lower-cases the letters U+00C0 to U+00DE in UTF-8 bytes."""
+    upper = np.zeros(len(data), dtype=bool)
+    upper[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    return np.where(upper, data + np.uint8(0x20), data)
+
+
+def _hash_words(data: np.ndarray, breaks: np.ndarray, fold: bool, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words in ``data``; a word also ends at each offset in ``breaks``."""
     n = len(data)
     if n == 0:
         empty = np.zeros(0, dtype=np.int64)
         return np.zeros(0, dtype=np.uint64), empty, empty
-    space = _SPACE[data]
+    if plain:
+        data = fold_latin(data)
+    space = (_MARK if plain else _SPACE)[data]
     before = np.empty(n + 1, dtype=bool)
     before[0] = True
     before[1:] = space
@@ -96,12 +107,13 @@ def _pieces(data: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
 
 
 def word_slices(
-    texts: pa.Array, size: int = SLICE_BYTES, fold: bool = True
+    texts: pa.Array, size: int = SLICE_BYTES, fold: bool = True, plain: bool = False
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Yields (first, last, hashes, bounds, starts, ends) for consecutive texts.
 
     ``hashes[bounds[i]:bounds[i + 1]]`` are the words of text ``first + i``; ``starts`` and ``ends`` are their byte
-    offsets in the text. Without ``fold`` the hash tells upper from lower case.
+    offsets in the text. Without ``fold`` the hash tells upper from lower case. With ``plain`` all
+    ASCII signs but letters and digits are blanks, and Latin letters with marks are lower-cased too.
     """
     data, offsets = buffers(texts)
     first = 0
@@ -110,14 +122,14 @@ def word_slices(
         last = min(max(last, first + 1), len(offsets) - 1)
         part = data[offsets[first] : offsets[last]]
         if last == first + 1 and len(part) > size:
-            found = [(*_hash_words(part[a:b], np.zeros(0, dtype=np.int64), fold), a) for a, b in _pieces(part, size)]
+            found = [(*_hash_words(part[a:b], np.zeros(0, dtype=np.int64), fold, plain), a) for a, b in _pieces(part, size)]
             hashes = np.concatenate([x[0] for x in found])
             starts = np.concatenate([x[1] + x[3] for x in found])
             ends = np.concatenate([x[2] + x[3] for x in found])
             bounds = np.array([0, len(hashes)])
         else:
             local = offsets[first : last + 1] - offsets[first]
-            hashes, starts, ends = _hash_words(part, local, fold)
+            hashes, starts, ends = _hash_words(part, local, fold, plain)
             bounds = np.searchsorted(starts, local)
             shift = np.repeat(local[:-1], np.diff(bounds))
             starts, ends = starts - shift, ends - shift
