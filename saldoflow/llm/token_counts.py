@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldoflow.llm.tokens import WordTokenizer, vocabulary_path
+from saldoflow.llm.tokens import DEFAULT_VOCABULARY, WordTokenizer, vocabulary_path  # noqa: F401
 
 KEYS = ("source", "lang", "tokenizer")
 CHANGES = "source string, lang string, tokenizer string, docs long, tokens long"
