@@ -5,20 +5,86 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from saldoflow.llm import minhash
+from saldoflow.llm import decontaminate, html_text, langid, minhash, packing, passages, pii, token_counts, topk, warc
+from saldoflow.llm.scratch import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk_inner_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.expr("vec_id % 100 = 0"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all pages to archives, reads them back, and gives the records that were read."""
+    folder = f"{Scratch(spark, 'warc').folder}/archives"
+    archives = warc.write_archives(_table(spark, sf_dir, "pages"), folder)
+    records = warc.read_archives(spark, archives, folder).where("reason IS NULL")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    machines = langid.train(docs.where(~langid.held_out()))
+    predicted = langid.predict(docs, machines)
+    return predicted.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after two loads, one of them repeated, and a batch that deletes and re-inserts a quarter of the documents."""
+    scratch = Scratch(spark, "tokens")
+    counts = scratch.save(token_counts.counted(_table(spark, sf_dir, "documents")))
+    ledger = token_counts.Ledger(spark, f"{scratch.folder}/ledger")
+    half = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(2)) == 0
+    version = token_counts.DEFAULT_VOCABULARY.removesuffix(".json")
+    ledger.commit("load-0", token_counts.changes(counts.where(half), 1, version))
+    ledger.commit("load-1", token_counts.changes(counts.where(~half), 1, version))
+    ledger.commit("load-0", token_counts.changes(counts.where(half), 1, version))
+    moved = counts.where(half & (F.pmod("n_tokens", F.lit(2)) == 0))
+    ledger.commit("revise", token_counts.revisions(moved, moved, version))
+    ledger.compact()
+    return ledger.totals()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk_inner_product": op1_topk_inner_product,
+    "op2_pii": op2_pii,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_warc": op4_warc,
+    "op5_packing": op5_packing,
+    "op6_html_text": op6_html_text,
+    "op7_decontamination": op7_decontamination,
+    "op8_language_id": op8_language_id,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
