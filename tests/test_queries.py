@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as driver
+from saldoflow.checks import oracle, queries
 from tests.compare import connect, differences
 from tests.conftest import SF_DIR
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = queries.QUERIES, oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def duck():
 
 def test_every_query_has_a_twin():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
