@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ import pyarrow as pa
 from saldoflow.llm.words import buffers, word_slices
 
 REMEMBERED = 1 << 19
+JOINED = 512
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 
 _open: dict[str, WordTokenizer] = {}
@@ -32,7 +34,9 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(path).encode_batch
+        self._encode = (tokenizer := Tokenizer.from_file(path)).encode_batch_fast
+        # A special token between words keeps them apart: it is cut out before anything else is done to the text.
+        self._mark_id, self._mark = min((i, t.content) for i, t in tokenizer.get_added_tokens_decoder().items())
         self._forget()
 
     @classmethod
@@ -49,39 +53,59 @@ class WordTokenizer:
         self._flat = np.zeros(1 << 14, dtype=np.uint32)
         self._used = 0
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        encoded = [x.ids for x in self._encode(words, add_special_tokens=False)]
-        n, more = len(self._slots), sum(map(len, encoded))
-        while n + len(words) > len(self._sizes):
+    def _ids_of(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some words one after the other, and their number for each word."""
+        mark = np.frombuffer(self._mark.encode(), dtype=np.uint8)
+        sizes = end - begin + len(mark)
+        ends = np.cumsum(sizes)
+        joined = np.empty(int(ends[-1]), dtype=np.uint8)
+        source = np.arange(len(joined)) + np.repeat(begin - (ends - sizes), sizes)
+        inside = np.arange(len(joined)) < np.repeat(ends - len(mark), sizes)
+        joined[inside] = data[source[inside]]
+        joined[~inside] = np.tile(mark, len(begin))
+        cuts = [0, *ends[JOINED - 1 :: JOINED].tolist()]
+        if cuts[-1] != len(joined):
+            cuts.append(len(joined))
+        texts = [joined[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)]
+        ids = np.concatenate([np.array(x.ids, dtype=np.uint32) for x in self._encode(texts, add_special_tokens=False)])
+        marks = np.flatnonzero(ids == self._mark_id)
+        return ids[ids != self._mark_id], np.diff(marks, prepend=-1) - 1
+
+    def _learn(self, data: np.ndarray, hashes: list[int], begin: np.ndarray, end: np.ndarray) -> None:
+        ids, sizes = self._ids_of(data, begin, end)
+        if len(sizes) != len(hashes):  # a word holds the mark itself: one by one
+            texts = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(begin, end, strict=True)]
+            found = [x.ids for x in self._encode(texts, add_special_tokens=False)]
+            ids, sizes = np.array([i for x in found for i in x], dtype=np.uint32), np.array([len(x) for x in found])
+        n = len(self._slots)
+        while n + len(sizes) > len(self._sizes):
             self._sizes, self._begins = np.append(self._sizes, self._sizes), np.append(self._begins, self._begins)
-        while self._used + more > len(self._flat):
+        while self._used + len(ids) > len(self._flat):
             self._flat = np.append(self._flat, self._flat)
-        for h, ids in zip(hashes, encoded, strict=True):
-            self._slots[h] = n
-            self._begins[n], self._sizes[n] = self._used, len(ids)
-            self._flat[self._used : self._used + len(ids)] = ids
-            self._used += len(ids)
-            n += 1
-
-    def _slots_of(self, hashes: np.ndarray, word) -> np.ndarray:
+        self._flat[self._used : self._used + len(ids)] = ids
+        self._sizes[n : n + len(sizes)] = sizes
+        self._begins[n : n + len(sizes)] = self._used + np.cumsum(sizes) - sizes
+        self._used += len(ids)
+        self._slots.update(zip(hashes, range(n, n + len(sizes)), strict=True))
+
+    def _slots_of(self, hashes: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         if len(self._slots) > REMEMBERED:
             self._forget()
         different, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         keys = different.tolist()
-        unknown = [i for i, h in enumerate(keys) if h not in self._slots]
-        for at in range(0, len(unknown), 1 << 13):
-            some = unknown[at : at + (1 << 13)]
-            self._learn([keys[i] for i in some], [word(int(first[i])) for i in some])
-        slots = self._slots
-        return np.fromiter((slots[h] for h in keys), dtype=np.int64, count=len(keys))[inverse]
+        slots = np.fromiter(map(self._slots.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
+        unknown = np.flatnonzero(slots < 0)
+        if len(unknown):
+            n, at = len(self._slots), first[unknown]
+            self._learn(data, different[unknown].tolist(), begin[at], end[at])
+            slots[unknown] = np.arange(n, n + len(unknown))
+        return slots[inverse]
 
     def _slices(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         data, offsets = buffers(texts)
         for first, last, hashes, bounds, starts, ends in word_slices(texts, fold=False):
             shift = np.repeat(offsets[first:last], np.diff(bounds))
-            begin, end = starts + shift, ends + shift
-            word = lambda i: data[begin[i] : end[i]].tobytes().decode("utf-8", "replace")  # noqa: B023, E731
-            yield first, last, bounds, self._slots_of(hashes, word)
+            yield first, last, bounds, self._slots_of(hashes, data, starts + shift, ends + shift)
 
     def counts(self, texts: pa.Array) -> np.ndarray:
         """The number of ids of every text; a null has none."""
