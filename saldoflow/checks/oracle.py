@@ -20,13 +20,14 @@ KEY = "CAST(strftime(fecha_corte, '%Y%m%d') AS INTEGER)"
 
 # k counts calendar rows back from the cut: 1 to 4 are the window, 5 to 8 the rows before it.
 BACKWARD_SQL = f"""
+numerada AS (SELECT *, row_number() OVER (ORDER BY fec_fecha_iso) AS rn FROM cal),
+previa AS (SELECT fecha_corte, rn AS ultima FROM cuts ASOF JOIN numerada ON fecha_corte > fec_fecha_iso),
 earlier AS (
   SELECT fecha_corte, fec_fecha_iso AS fecha, nom_dia_semana AS label, flg_dia_habil AS flag,
-         flg_dia_habil = 1 AND nom_dia_semana <> 'sábado' AS working,
-         row_number() OVER (PARTITION BY fecha_corte ORDER BY fec_fecha_iso DESC) AS k
-  FROM cuts JOIN cal ON id_dh_fecha < {KEY}
+         flg_dia_habil = 1 AND nom_dia_semana IS DISTINCT FROM 'sábado' AS working, ultima - rn + 1 AS k
+  FROM previa CROSS JOIN range(8) atras(n) JOIN numerada ON rn = ultima - n
 ),
-near AS (SELECT * FROM earlier WHERE k <= 8),
+near AS MATERIALIZED (SELECT * FROM earlier),
 numbered AS (
   SELECT a.fecha_corte, a.fecha, a.label, a.flag, a.working, a.k,
          count(*) AS day_number, count(*) FILTER (b.flag = 1) AS flagged, count(*) FILTER (b.working) AS worked

@@ -182,12 +182,6 @@ _CORPUS_TEXT = """
   FROM partes"""
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where a small input has fewer splits than that; larger inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def corpus(tables: Tables) -> DataFrame:
     """A table of SQL texts with one to three CTEs, comments, literals and both date spellings."""
     columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
@@ -201,7 +195,7 @@ def corpus(tables: Tables) -> DataFrame:
         partes AS ({_CORPUS_PARTS}),
         textos AS ({_CORPUS_TEXT})
         SELECT query_id, sql_text FROM textos""",
-        orders=_spread(tables.orders.select(*columns)),
+        orders=tables.orders.select(*columns),
     )
 
 

@@ -67,14 +67,14 @@ def resolved_cut(request: Column, now_local: Column, on_invalid: str = "error")
     """The cut date a text request stands for.
 
     NULL, blank and the two 1900 placeholders mean the current day of ``now_local``; text with a hyphen
-    is read as year-month-day; any other text by its first eight characters as YYYYMMDD. ``on_invalid``
+    is read as year-month-day, exactly eight digits as YYYYMMDD; any other text is invalid. ``on_invalid``
     is ``"error"`` or ``"null"``.
     """
     if on_invalid not in ("error", "null"):
         raise ValueError(f"on_invalid must be 'error' or 'null', not {on_invalid!r}")
     text = F.trim(request)
-    iso = F.when(text.contains("-"), text).otherwise(
-        F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    iso = F.when(text.contains("-"), text).when(
+        text.rlike("^[0-9]{8}$"), F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)),
     )
     parsed = F.try_to_date(iso, "yyyy-M-d")
     if on_invalid == "error":

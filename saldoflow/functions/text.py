@@ -25,10 +25,11 @@ _WORD = r"[\p{L}\p{N}_.$]"
 _DATE_CANDIDATE = rf"{STRING_LITERAL}|{QUOTED_NAME}|\d{{8}}(?<!{_WORD}\d{{8}})(?!{_WORD})"
 _DATE_TOKEN = r"^(?:'(?:\d{4}-\d{2}-\d{2}|\d{8})'|\d{8})$"
 # FROM inside EXTRACT(...), TRIM(...), SUBSTRING(...), OVERLAY(...) and IS DISTINCT FROM names no table.
-_FUNCTION_FROM = r"(?:EXTRACT|TRIM|SUBSTRING|OVERLAY)\s*\([^()']{0,200}?(?:'[^']*+'[^()']{0,200}?)?\sFROM\s"
+_NESTED = r"(?:'[^']*+'|\([^()']*+(?:'[^']*+'[^()']*+)*+\))"
+_FUNCTION_FROM = rf"(?:EXTRACT|TRIM|SUBSTRING|OVERLAY)\s*\([^()']*?(?:{_NESTED}[^()']*?)*?\sFROM\s"
 _NAME = r"[^\s,;()]+"
 _TABLE_LIST = rf"(?:FROM|JOIN)\s+({_NAME}(?:(?:\s+(?:AS\s+)?\w+)?\s*,\s*{_NAME})*+)"
-_TABLE_LIST_OR_SKIPPED = rf"(?i){STRING_LITERAL}|\b(?:{_TABLE_LIST}|DISTINCT\s+FROM\s|{_FUNCTION_FROM})"
+_TABLE_LIST_OR_SKIPPED = rf"(?i){STRING_LITERAL}|{QUOTED_NAME}|\b(?:{_TABLE_LIST}|DISTINCT\s+FROM\s|{_FUNCTION_FROM})"
 
 # Markers put in the place of the dominant date.
 ISO_MARKER = "{fecha_corte_iso}"
@@ -91,16 +92,29 @@ def dominant_date(literals: str) -> Column:
 def parameterised(clean: Column, literals: Column, date: Column) -> Column:
     """The text with the spellings of ``date`` that occur as literals replaced by markers.
 
-    ISO spellings, quoted or bare, become ``ISO_MARKER``; the compact spelling becomes ``COMPACT_MARKER``.
-    Only whole tokens are replaced, so longer numbers and names that contain the digits stay.
+    ISO spellings, quoted or bare, become ``ISO_MARKER``; the compact spelling becomes ``COMPACT_MARKER``. Only
+    whole tokens are replaced, as ``date_literals`` takes them: longer numbers, names that contain the digits and quoted names stay.
     """
     iso, compact = F.date_format(date, "yyyy-MM-dd"), F.date_format(date, "yyyyMMdd")
     has_iso = F.exists(literals, lambda d: d["literal"] == iso)
     has_compact = F.exists(literals, lambda d: d["literal"] == compact)
-    iso_pattern = F.concat(F.lit("'"), iso, F.lit(r"'|\b"), iso, F.lit(r"\b"))
-    compact_pattern = F.concat(F.lit(r"\b"), compact, F.lit(r"\b"))
-    step = F.when(has_iso, F.regexp_replace(clean, iso_pattern, F.lit(ISO_MARKER))).otherwise(clean)
-    return F.when(has_compact, F.regexp_replace(step, compact_pattern, F.lit(COMPACT_MARKER))).otherwise(step)
+    whole = lambda digits: F.concat(F.lit(rf"(?<!{_WORD})"), digits, F.lit(rf"(?!{_WORD})"))
+    iso_pattern = F.concat(F.lit("'"), iso, F.lit("'|"), whole(iso))
+
+    def replaced(part: Column) -> Column:
+        step = F.when(has_iso, F.regexp_replace(part, iso_pattern, F.lit(ISO_MARKER))).otherwise(part)
+        return F.when(has_compact, F.regexp_replace(step, whole(compact), F.lit(COMPACT_MARKER))).otherwise(step)
+
+    # Quoted names are found beside literals, which may hold a double quote, and put back as they are.
+    quoted = rf"{STRING_LITERAL}|{QUOTED_NAME}"
+    pieces, hits = F.split(clean, quoted, -1), F.regexp_extract_all(clean, F.lit(quoted), F.lit(0))
+    rest = F.zip_with(
+        hits,
+        F.slice(pieces, 2, F.size(hits)),
+        lambda hit, piece: F.concat(F.when(hit.startswith('"'), hit).otherwise(replaced(hit)), replaced(piece)),
+    )
+    split_up = F.concat(replaced(F.get(pieces, F.lit(0))), F.array_join(rest, ""))
+    return F.when(clean.contains('"'), split_up).otherwise(replaced(clean))
 
 
 def table_references(clean: Column) -> Column:

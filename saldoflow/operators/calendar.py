@@ -42,12 +42,15 @@ _BACKWARD_RANGES = {
 _BY_PART = "OVER (PARTITION BY fecha_corte, tramo ORDER BY fecha)"
 _SO_FAR = "OVER (PARTITION BY fecha_corte, tramo ORDER BY fecha ROWS UNBOUNDED PRECEDING)"
 
-_OFF = f"(flg_dia_habil = 0 OR nom_dia_semana = '{SATURDAY}')"
+# A day without a weekday name follows its flag where days are numbered; among the earlier days, whose rule is
+# three-valued like the one below, it is kept only if its flag is 0.
+_OFF = f"(flg_dia_habil = 0 OR (nom_dia_semana <=> '{SATURDAY}'))"
+_OFF_EARLIER = f"(flg_dia_habil = 0 OR nom_dia_semana = '{SATURDAY}')"
 # A holiday Thursday before a working Friday. Three-valued on purpose: the last row has no next day, so a holiday
 # Thursday there is neither kept nor left out by the rule, and a filter drops it.
 _BRIDGE = f"""(nom_dia_semana = '{THURSDAY}' AND flg_dia_habil = 0
                AND next_weekday = '{FRIDAY}' AND next_flag = 1)"""
-_KEPT_PRIOR = f"({_OFF} AND NOT {_BRIDGE})"
+_KEPT_PRIOR = f"({_OFF_EARLIER} AND NOT {_BRIDGE})"
 
 # A working day takes its number among the flagged days; a day off takes the number after the working days so far.
 _LOOKBACK_BUCKET = f"""

@@ -14,14 +14,35 @@ from saldoflow.operators.audit import PARTITION_COLUMNS
 FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro")
 
 
-def _guarded(df: DataFrame, date_column: str, days: Sequence[dt.date]) -> DataFrame:
-    """The frame, failing on a row dated outside ``days``: it would replace a day nobody asked to replace."""
+def _guarded(df: DataFrame, date_column: str, days: Sequence[dt.date], parts: Sequence[str]) -> DataFrame:
+    """The frame, failing on a row that would land in another day than one of ``days``: nobody asked to replace that."""
     day = F.col(date_column)
     outside = F.concat(F.lit("row dated outside the replaced days: "), F.coalesce(day.cast("string"), F.lit("NULL")))
-    checked = F.when(day.isin(*days), day).otherwise(F.raise_error(outside).cast("date"))
+    fits = day.isin(*days)
+    if len(parts) == 3:
+        for name, part in zip(parts, (F.year(day), F.month(day), F.dayofmonth(day)), strict=True):
+            fits = fits & F.col(name).cast("int").eqNullSafe(part)
+    checked = F.when(fits, day).otherwise(F.raise_error(outside).cast("date"))
     return df.withColumn(date_column, checked)
 
 
+def day_partitions(spark: SparkSession, table: str, date_column: str, partition_columns: Sequence[str]) -> tuple[str, ...]:
+    """The partition columns of a table, if a partition is exactly one day; ``ValueError`` if not.
+
+    Either the date column alone, or year, month and day as ``partition_columns`` names them in that order. In any
+    other table an overwrite of partitions would reach days that are not replaced.
+    """
+    columns = spark.catalog.listColumns(table)
+    parts = tuple(c.name for c in columns if c.isPartition)
+    kinds = {c.name: c.dataType for c in columns}
+    whole_numbers = ("int", "bigint", "smallint", "tinyint")
+    if parts == (date_column,) and kinds[date_column] == "date":
+        return parts
+    if len(parts) == 3 and set(parts) == set(partition_columns) and all(kinds[c] in whole_numbers for c in parts):
+        return tuple(partition_columns)
+    raise ValueError(f"{table} is partitioned by {list(parts)}; its partitions are not single days of {date_column}")
+
+
 def _provider(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'").take(1)
     return rows[0]["data_type"].lower() if rows else ""
@@ -40,14 +61,29 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
 
 
 def _clear_days(spark: SparkSession, table: str, days: Sequence[dt.date], columns: Sequence[str]) -> None:
-    """Empty the partitions of days that got no rows, where they exist."""
+    """Drop the partitions of days that got no rows, in one statement, and then their files.
+
+    Tables with a location of their own keep the files of a dropped partition, where readers of the path would find them.
+    """
+    if not days:
+        return
+
+    def values(day: dt.date) -> list[tuple[str, str]]:
+        if len(columns) == 1:
+            return [(columns[0], day.isoformat())]
+        return list(zip(columns, map(str, (day.year, day.month, day.day)), strict=True))
+
+    quoted = lambda v: v if v.isdigit() else f"DATE '{v}'"
+    clauses = ", ".join("PARTITION (" + ", ".join(f"`{c}` = {quoted(v)}" for c, v in values(d)) + ")" for d in days)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {clauses}")
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").take(1)[0]["data_type"]
+    order = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(location).getFileSystem(spark._jsc.hadoopConfiguration())
     for day in days:
-        parts = ", ".join(f"{c} = {v}" for c, v in zip(columns, (day.year, day.month, day.day)))
-        if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({parts})").take(1):
-            nothing = ", ".join(
-                f"CAST(NULL AS {f.dataType.simpleString()})" for f in spark.table(table).schema if f.name not in columns
-            )
-            spark.sql(f"INSERT OVERWRITE {table} PARTITION ({parts}) SELECT {nothing} WHERE false")
+        named = dict(values(day))
+        files.delete(path(location + "".join(f"/{c}={named[c]}" for c in order)), True)
+    spark.catalog.refreshTable(table)
 
 
 def create_snapshot_table(
@@ -85,23 +121,31 @@ def replace_snapshots(
 ) -> int:
     """Make ``df`` the content of ``days`` in ``table`` and return its row count.
 
-    A missing table is created. Otherwise a table format with row-level commits gets one conditional overwrite;
-    a file table gets a dynamic partition overwrite, which stages its files and swaps whole partitions when the
-    job commits, so a run that fails half-way leaves every old day readable. A dynamic overwrite does not touch
-    days without new rows, so those are emptied afterwards.
+    A missing table is created. Otherwise a table format with row-level commits gets one conditional overwrite.
+    A file table must have one partition for each day, else it is refused before anything is written. It gets a
+    dynamic partition overwrite, which stages its files and swaps whole partitions when the job commits, so a run that
+    fails before that leaves every old day readable. A dynamic overwrite does not touch days without new rows, so
+    those are dropped afterwards, in a second step: a run that dies between the steps has the new days in place and
+    the rows of emptied days still there, until it is run again.
+
+    The overwrite mode is a setting of the session while the write runs; give jobs that write at the same time
+    sessions of their own.
 
     The rebalance hint gathers a day's rows into few files and splits a day too large for one task. Rows are
     counted in the writing stage, whose tasks count once each even when earlier stages are run again.
     """
     spark = df.sparkSession
     seen = Observation()
-    clustered = _guarded(df, date_column, days).hint("rebalance", *partition_columns)
+    exists = spark.catalog.tableExists(table)
+    by_files = exists and _provider(spark, table) in FILE_FORMATS
+    parts = day_partitions(spark, table, date_column, partition_columns) if by_files else tuple(partition_columns)
+    clustered = _guarded(df, date_column, days, parts).hint("rebalance", *parts)
     rows = clustered.observe(seen, F.count(F.lit(1)).alias("filas"), F.collect_set(date_column).alias("dias"))
-    if not spark.catalog.tableExists(table):
+    if not exists:
         create_snapshot_table(rows, table, location, partition_columns, table_format, properties)
         return seen.get["filas"]
 
-    if _provider(spark, table) not in FILE_FORMATS:
+    if not by_files:
         condition: Column = F.col(date_column).isin(*days)
         rows.writeTo(table).overwrite(condition)
         return seen.get["filas"]
@@ -109,5 +153,5 @@ def replace_snapshots(
     ordered = rows.select(*spark.table(table).columns)
     with _dynamic_overwrite(spark):
         ordered.write.insertInto(table, overwrite=True)
-    _clear_days(spark, table, sorted(set(days) - set(seen.get["dias"])), partition_columns)
+    _clear_days(spark, table, sorted(set(days) - set(seen.get["dias"])), parts)
     return seen.get["filas"]

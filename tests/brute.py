@@ -7,14 +7,14 @@ import datetime as dt
 WEEKDAYS = ("lunes", "martes", "miércoles", "jueves", "viernes", "sábado", "domingo")
 
 
-def make_calendar(first: dt.date, last: dt.date, holidays=(), saturday_flag=1, missing=()):
-    """(date, flag, weekday) rows."""
+def make_calendar(first: dt.date, last: dt.date, holidays=(), saturday_flag=1, missing=(), unnamed=()):
+    """(date, flag, weekday) rows; ``unnamed`` days have no weekday."""
     rows = []
     day = first
     while day <= last:
         if day not in missing:
             off = day.weekday() == 6 or day in holidays or (day.weekday() == 5 and not saturday_flag)
-            rows.append((day, 0 if off else 1, WEEKDAYS[day.weekday()]))
+            rows.append((day, 0 if off else 1, None if day in unnamed else WEEKDAYS[day.weekday()]))
         day += dt.timedelta(days=1)
     return rows
 
@@ -25,7 +25,7 @@ def as_frame(spark, rows):
 
 
 def _working(row):
-    return row[1] == 1 and row[2] != "sábado"
+    return row[1] == 1 and row[2] not in (None, "sábado")
 
 
 def backward(rows, cut):
@@ -35,10 +35,11 @@ def backward(rows, cut):
     for i, (day, flag, name) in enumerate(prior):
         if not (flag == 0 or name == "sábado"):
             continue
-        if name == "jueves" and flag == 0:
-            if i + 1 == len(prior):
-                continue  # the next day is unknown, so the test is neither true nor false
-            if prior[i + 1][2] == "viernes" and prior[i + 1][1] == 1:
+        if name in (None, "jueves") and flag == 0:
+            # NOT (jueves AND next is viernes AND next works): what is unknown is neither true nor false and drops the day.
+            after = prior[i + 1] if i + 1 < len(prior) else (None, None, None)
+            tests = [None if name is None else True, None if after[2] is None else after[2] == "viernes", None if after[1] is None else after[1] == 1]
+            if False not in tests:
                 continue
         out.append((name, day, 1))
     business = working = off = 0

@@ -99,7 +99,8 @@ def test_calendars_with_missing_days_and_random_holidays(spark, seed):
     every = [first + dt.timedelta(days=k) for k in range(500)]
     holidays = set(rng.sample(every, 80)) | {d for d in every if d.weekday() == 3 and rng.random() < 0.4}
     missing = set(rng.sample(every, 60)) | set(every[200:245])
-    rows = make_calendar(first, every[-1], holidays, saturday_flag=seed % 2, missing=missing)
+    unnamed = set(rng.sample(every, 50))
+    rows = make_calendar(first, every[-1], holidays, saturday_flag=seed % 2, missing=missing, unnamed=unnamed)
     assert_matches(spark, rows, every[::7] + [first, D(2020, 1, 1), D(2030, 1, 1)])
 
 
@@ -111,6 +112,12 @@ def test_holiday_thursday_at_the_end_of_the_prior_rows_is_dropped(spark):
     assert found[cut] == sorted(backward(rows, cut), key=str)
 
 
+def test_a_working_day_without_a_name_is_numbered(spark):
+    rows = make_calendar(D(2025, 10, 1), D(2025, 12, 31), HOLIDAYS, unnamed={D(2025, 10, 31)})
+    found = rows_by_cut(CutCalendar(as_frame(spark, rows), cut_table(spark, D(2025, 11, 4))).backward_buckets())
+    assert days(found[D(2025, 11, 4)], 2) == [D(2025, 11, d) for d in (1, 2, 3)]
+
+
 def test_gap_after_the_next_business_day_keeps_labels_consecutive_inside_a_band(spark):
     missing = {D(2025, 11, 13), D(2025, 11, 19)}
     rows = make_calendar(D(2025, 10, 1), D(2026, 12, 31), HOLIDAYS, missing=missing)

@@ -46,6 +46,10 @@ def test_cleaning(spark):
         ('SELECT 1 FROM "a"."t" ORDER BY q.x, q.y', ["a.t"]),
         ("SELECT (SELECT max(x) FROM a.t), q.z FROM (SELECT 1 FROM b.u) s", ["a.t", "b.u"]),
         ("SELECT 1 FROM t", []),
+        ('SELECT "x FROM no.no" FROM a.t', ["a.t"]),
+        ("SELECT trim(upper('x') FROM q.g) FROM a.t", ["a.t"]),
+        ("SELECT trim(" + "x" * 232 + " FROM q.g) FROM a.t", ["a.t"]),
+        ("SELECT trim('" + "y(" * 9000 + "' FROM q.g) FROM a.t", ["a.t"]),
     ],
 )
 def test_sources(spark, sql, expected):
@@ -197,3 +201,10 @@ def test_texts_are_cleaned_once_and_never_shuffled(spark, tmp_path, op):
     execution = op(spark.read.parquet(str(tmp_path / "q")))._jdf.queryExecution()
     assert "Exchange" not in execution.executedPlan().toString()
     assert execution.optimizedPlan().toString().count("regexp_replace(sql_text") == 1
+
+
+@pytest.mark.parametrize("kept", ["20251107.5", '"t-20251107"', "esq.20251107", "a20251107", '"20251107"'])
+def test_only_whole_tokens_become_markers(spark, kept):
+    sql = f"SELECT {kept}, 'un \" y' FROM a.t WHERE k = 20251107 AND d = '20251107'"
+    found = ops.parameterise(texts(spark, sql)).first().asDict()
+    assert any(v == f"SELECT {kept}, 'un \" y' FROM a.t WHERE k = {{fecha_corte}} AND d = '{{fecha_corte}}'" for v in found.values())

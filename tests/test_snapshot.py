@@ -89,3 +89,35 @@ def test_a_missing_table_needs_a_location(spark):
 def test_an_existing_table_is_not_created_again(spark, target, tmp_path):
     with pytest.raises(PySparkException):
         create_snapshot_table(stamped(spark, [(DAYS[0], 1)]), target, str(tmp_path / "other"))
+
+
+def plain_table(spark, tmp_path, *parts):
+    name = f"snap_{uuid.uuid4().hex[:8]}"
+    rows = stamped(spark, [(d, 1) for d in DAYS])
+    writer = rows.write.format("parquet").option("path", str(tmp_path / name))
+    (writer.partitionBy(*parts) if parts else writer).saveAsTable(name)
+    return name
+
+
+@pytest.mark.parametrize("parts", [(), ("anio_particion", "mes_particion"), ("valor",), ("fecha_corte", "valor")])
+def test_a_table_whose_partitions_are_not_days_is_refused_unchanged(spark, tmp_path, parts):
+    name = plain_table(spark, tmp_path, *parts)
+    with pytest.raises(ValueError, match="not single days"):
+        replace_snapshots(stamped(spark, [(DAYS[1], 9)]), name, [DAYS[1]])
+    assert content(spark, name) == {(5, 1): 1, (6, 1): 1, (7, 1): 1}
+
+
+def test_a_table_partitioned_by_the_date(spark, tmp_path):
+    name = plain_table(spark, tmp_path, "fecha_corte")
+    assert replace_snapshots(stamped(spark, [(DAYS[1], 9)]), name, DAYS[1:]) == 1
+    assert content(spark, name) == {(5, 1): 1, (6, 9): 1}
+    assert replace_snapshots(stamped(spark, []), name, [DAYS[0]]) == 0
+    assert content(spark, name) == {(6, 9): 1}
+    assert spark.read.parquet(str(tmp_path / name)).count() == 1
+
+
+def test_partition_values_that_disagree_with_the_date_fail(spark, target):
+    moved = stamped(spark, [(DAYS[1], 9)]).withColumn("dia_particion", F.lit(7))
+    with pytest.raises(PySparkException, match="outside the replaced days"):
+        replace_snapshots(moved, target, [DAYS[1]])
+    assert content(spark, target) == {(5, 1): 2, (6, 1): 2, (7, 1): 2}
