@@ -4,9 +4,10 @@ Texts are sequences of plain words: letters and digits, lower-cased; all other A
 whole if it has at most ``PART`` words, and else in consecutive parts of about that many, so that windows are bounded.
 A match is a passage within an edit distance (of words) of ``EDITS`` times the words of the part.
 
-1. A window of as many words as a part can only match if at least n - 1 - 4d of its word pairs are pairs of a part of that
-   size, for d allowed edits: each edit in the passage, and each word by which it is shifted in the window,
-   spoils two pairs. Pairs are tested with a bit filter of a fixed size.
+1. A window of as many words as a part can only match if at least n - 1 - 2d of its word pairs are pairs of a part of that
+   size, for d allowed edits: a word replaced or left out spoils two pairs, a word put in spoils one and pushes one
+   out of the window. Of the windows around a place only those count that hold nearly the most pairs there. A table of fixed size says for a word pair of which sizes there are parts with it; a few pairs more
+   pass for a large benchmark, none is lost.
 2. The windows left are embedded by random walks: at each step a bit drawn from the step and the word under the
    reader says whether the reader moves on. Sequences at a small edit distance then agree in many places. ``SAMPLED``
    places make one key and ``REPEATS`` independent walks give as many chances; at the largest distance
@@ -36,8 +37,9 @@ PART = 64
 SAMPLED, REPEATS = 2, 20
 SEED = 20240229
 BLOCK = 1 << 12
+MOST_SLOTS = 1 << 21
 
-_PART = "item_id long, part int, n int, words binary, keys array<long>, pairs array<long>"
+_PART = "item_id long, part int, n int, words binary, keys array<long>, pairs array<long>, different int"
 _WINDOW = "key long, doc_id long, start int, n int, words binary"
 _MATCH = "doc_id long, item_id long, part int, start long, stop long, n_words int, edits int, similarity double"
 
@@ -47,17 +49,13 @@ def _allowed(n: int) -> int:
 
 
 def _needed(n: int) -> int:
-    return max(1, n - 1 - 4 * _allowed(n))
+    return max(1, n - 1 - 2 * _allowed(n))
 
 
 def _pairs(words: np.ndarray) -> np.ndarray:
     return mix(words[:-1] * np.uint64(0xA0761D6478BD642F) + words[1:])
 
 
-def _sized(pairs: np.ndarray, n: int) -> np.ndarray:
-    return mix(pairs ^ np.uint64(n * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-
-
 def walk_keys(windows: np.ndarray) -> np.ndarray:
     """``REPEATS`` keys for every row of word hashes; rows of different lengths have unrelated keys."""
     rows, n = windows.shape
@@ -116,54 +114,108 @@ def _parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for k in range(count):
                     part = words[cuts[k] : cuts[k + 1]]
                     keys = walk_keys(part[None, :])[0].view(np.int64)
-                    pairs = _sized(_pairs(part), len(part)).view(np.int64)
-                    out.append((ids[i], k, len(part), part.tobytes(), keys.tolist(), pairs.tolist()))
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                    pairs = _pairs(part).view(np.int64)
+                    out.append((ids[i], k, len(part), part.tobytes(), keys.tolist(), pairs.tolist(), len(np.unique(pairs))))
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32())
         yield pa.record_batch([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=[x.split()[0] for x in _PART.split(", ")])
 
 
-def _windows(sizes: list[int], pair_filter: BitFilter, key_filter: BitFilter):
-    """Windows that may match, one row for each key that a part may have."""
-
-    def of_text(words: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        plain = _pairs(words)
-        for n in sizes:
-            d = _allowed(n)
-            if len(words) < n - d:
-                continue
-            hit = pair_filter.passes(_sized(plain, n))
-            if np.count_nonzero(hit) < _needed(n):
-                continue
-            sums = np.concatenate([[0], np.cumsum(hit)])
-            starts = np.arange(max(1, len(words) - (n - d) + 1))
-            ends = np.minimum(starts + n - 1, len(hit))
-            starts = starts[sums[ends] - sums[np.minimum(starts, ends)] >= _needed(n)]
-            padded = np.concatenate([words, np.zeros(n, dtype=np.uint64)])
+def _pair_table(items: DataFrame, expected: int) -> np.ndarray:
+    """For each slot that pairs of words fall to, the sizes of their parts: bit n - 1 for n words."""
+    slots = 1 << 12
+    while slots < min(16 * expected, MOST_SLOTS):
+        slots <<= 1
+    rows = (
+        items.select("n", F.explode("pairs").alias("pair"))
+        .select(F.col("pair").bitwiseAND(slots - 1).alias("slot"), F.expr("shiftleft(1L, n - 1)").alias("size"))
+        .groupBy("slot")
+        .agg(F.bit_or("size").alias("sizes"))
+        .toArrow()
+    )
+    table = np.zeros(slots, dtype=np.uint64)
+    table[rows["slot"].to_numpy()] = rows["sizes"].to_numpy().view(np.uint64)
+    return table
+
+
+def window_starts(at: np.ndarray, n: int, bounds: np.ndarray) -> np.ndarray:
+    """Where windows of n words begin that hold enough of the pairs ``at``, in texts bounded by ``bounds``."""
+    k, least = _needed(n), n - _allowed(n)
+    if len(at) < k:
+        return at[:0]
+    first, last = at[: len(at) - k + 1], at[k - 1 :]
+    near = last - first <= n - 2
+    first, last = first[near], last[near]
+    text = np.searchsorted(bounds, first, side="right") - 1
+    low, high = np.maximum(last - (n - 2), bounds[text]), np.minimum(first, bounds[text + 1] - least)
+    good = (low <= high) & (last < bounds[text + 1])
+    sizes = (high - low + 1)[good]
+    ends = np.cumsum(sizes)
+    starts = np.unique(np.arange(ends[-1] if len(ends) else 0) + np.repeat(low[good] - (ends - sizes), sizes))
+    if not len(starts):
+        return starts
+    # Around a passage all shifts qualify; those with d pairs less than the best one nearby are not its beginning.
+    count = np.searchsorted(at, starts + n - 1) - np.searchsorted(at, starts)
+    kept, reach = [], n // 2
+    for some, own in zip(*[np.split(x, np.flatnonzero(np.diff(starts) > reach) + 1) for x in (starts, count)], strict=True):
+        dense = np.full(int(some[-1] - some[0]) + 1 + 2 * reach, -1)
+        dense[some - some[0] + reach] = own
+        best = np.lib.stride_tricks.sliding_window_view(dense, 2 * reach + 1)[some - some[0]].max(axis=1)
+        kept.append(some[own >= best - _allowed(n)])
+    return np.concatenate(kept)
+
+
+def _different(pairs: np.ndarray) -> np.ndarray:
+    """The number of different values but zero in each row."""
+    pairs = np.sort(pairs, axis=1)
+    return np.count_nonzero(pairs[:, 1:] != pairs[:, :-1], axis=1) + (pairs[:, 0] != 0)
+
+
+def _windows(sizes: dict[int, int], table: np.ndarray, key_filter: BitFilter):
+    """Windows that may match, one row for each key that a part may have; ``sizes`` has the least number of different
+    pairs in a part of that many words, which keeps out lines that repeat a frequent pair."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    names = [x.split()[0] for x in _WINDOW.split(", ")]
+
+    def in_slice(words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        pairs = _pairs(words)
+        of_pair = table[pairs & np.uint64(len(table) - 1)]
+        ends = bounds[1:][bounds[1:] < len(words)]
+        of_pair[ends[ends > 0] - 1] = 0  # not across two texts
+        places = np.flatnonzero(of_pair)
+        every, of_pair = of_pair, of_pair[places]
+        for n, different in sizes.items():
+            starts = window_starts(places[(of_pair >> np.uint64(n - 1)) & np.uint64(1) == 1], n, bounds)
             for a in range(0, len(starts), BLOCK):
                 some = starts[a : a + BLOCK]
-                keys = walk_keys(padded[some[:, None] + np.arange(n)[None, :]])
+                stop = bounds[np.searchsorted(bounds, some, side="right")]
+                cells = some[:, None] + np.arange(n)[None, :]
+                inside = cells < stop[:, None]
+                at = np.minimum(cells[:, : n - 1], len(pairs) - 1)
+                own = inside[:, 1:] & ((every[at] >> np.uint64(n - 1)) & np.uint64(1) == 1)
+                rich = _different(np.where(own, pairs[at] | np.uint64(1), np.uint64(0))) >= max(1, different - 2 * _allowed(n))
+                if not rich.any():
+                    continue
+                some, stop, cells, inside = some[rich], stop[rich], cells[rich], inside[rich]
+                keys = walk_keys(np.where(inside, words[np.minimum(cells, len(words) - 1)], np.uint64(0)))
                 passed = key_filter.passes(keys.reshape(-1)).reshape(keys.shape)
                 for w, r in zip(*np.nonzero(passed), strict=True):
-                    yield n, int(some[w]), keys[w, r], words
+                    yield n, int(some[w]), int(stop[w]), int(keys[w, r])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-        names = [x.split()[0] for x in _WINDOW.split(", ")]
-        loose = np.array(sizes, dtype=np.int64)
         for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
             ids, out = batch.column(0).to_pylist(), []
-            for first, last, hashes, bounds, _, _ in word_slices(batch.column(1), plain=True):
-                for i in range(first, last):
-                    words = hashes[bounds[i - first] : bounds[i - first + 1]]
-                    if ids[i] is None or len(words) < loose.min() - _allowed(int(loose.min())):
-                        continue
-                    for n, start, key, text in of_text(words):
-                        begin = max(0, start - n)
-                        around = text[begin : begin + 3 * n]  # the same for all windows of one begin
-                        out.append((int(key.view(np.int64)), ids[i], begin, n, around.tobytes()))
-                        if len(out) == BLOCK:
-                            yield pa.record_batch([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], names=names)
-                            out = []
+            for first, _, words, bounds, _, _ in word_slices(batch.column(1), plain=True):
+                if len(words) < 2:
+                    continue
+                for n, start, stop, key in in_slice(words, bounds):
+                    text = int(np.searchsorted(bounds, start, side="right")) - 1
+                    begin = max(int(bounds[text]), start - n)
+                    around = words[begin : min(stop, begin + 3 * n)]  # the same for all windows of one begin
+                    out.append((key - (key >> 63 << 64), ids[first + text], begin - int(bounds[text]), n, around.tobytes()))
+                    if len(out) == BLOCK:
+                        yield pa.record_batch([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], names=names)
+                        out = []
             yield pa.record_batch([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], names=names)
 
     return run
@@ -186,13 +238,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
     items = benchmark.select(F.col(item_id).cast("long"), F.col(item_text).cast("string")).mapInArrow(_parts_of, _PART)
-    items, seen = scratch.save_measured(items, n=F.count("*"), keys=F.coalesce(F.sum(F.size("keys")), F.lit(0)), pairs=F.coalesce(F.sum(F.size("pairs")), F.lit(0)), sizes=F.collect_set("n"))
+    items, seen = scratch.save_measured(items, n=F.count("*"), keys=F.coalesce(F.sum(F.size("keys")), F.lit(0)), pairs=F.coalesce(F.sum(F.size("pairs")), F.lit(0)))
     if not seen["n"]:
         return spark.createDataFrame([], _MATCH)
-    pair_filter = BitFilter.of(items.select(F.explode("pairs").alias("pair")), "pair", seen["pairs"])
+    sizes = {r.n: r.different for r in items.groupBy("n").agg(F.min("different").alias("different")).orderBy("n").collect()}
+    table = _pair_table(items, seen["pairs"])
     key_filter = BitFilter.of(items.select(F.explode("keys").alias("key")), "key", seen["keys"])
     texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    windows = texts.mapInArrow(_windows(sorted(seen["sizes"]), pair_filter, key_filter), _WINDOW)
+    windows = texts.mapInArrow(_windows(sizes, table, key_filter), _WINDOW)
     keyed = items.select(F.explode(F.array_distinct("keys")).alias("key"), "n", "item_id", "part", F.col("words").alias("item_words"))
     met = windows.join(keyed, ["key", "n"])
     # Windows of one document that lie within half a part of each other meet the same passage: the first stands for them.
