@@ -16,7 +16,7 @@ import pyarrow as pa
 
 from saldoflow.llm.words import buffers, word_slices
 
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 20
 JOINED = 512
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 
