@@ -92,34 +92,37 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 ORACLE: dict[str, str] = {
     "op1_topk_inner_product": """
         WITH v AS (
-          SELECT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         s AS (
           SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
           FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
         SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""",
     "op3_minhash_dedup": rf"""
-        WITH RECURSIVE w AS (
-          SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
-        s AS (
-          SELECT doc_id, CASE
-            WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')))
-            WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS grams FROM w),
-        g AS (SELECT doc_id, unnest(grams) AS gram FROM s),
+        WITH RECURSIVE lists AS (
+          SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        w AS (SELECT doc_id, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+        five AS (
+          SELECT doc_id, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o || ' ' || lead(w, 4) OVER o AS gram
+          FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        g AS (
+          SELECT DISTINCT doc_id, gram FROM five WHERE gram IS NOT NULL
+          UNION ALL SELECT doc_id, string_agg(w, ' ' ORDER BY i) FROM w GROUP BY doc_id HAVING count(*) < 5),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
         shared AS (
           SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id < b.doc_id
           GROUP BY 1, 2),
         links AS (
-          SELECT x, y FROM shared JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y
-          WHERE 100 * c >= 85 * (len(a.grams) + len(b.grams) - c)),
-        both AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+          SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+        edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
         reached AS (
-          SELECT doc_id, doc_id AS root FROM s
-          UNION SELECT both.y, reached.root FROM reached JOIN both ON both.x = reached.doc_id),
+          SELECT doc_id, doc_id AS root FROM documents
+          UNION SELECT edges.y, reached.root FROM reached JOIN edges ON edges.x = reached.doc_id),
         least AS (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY 1)
-        SELECT doc_id, len(grams) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN least USING (doc_id)""",
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM documents JOIN least USING (doc_id) LEFT JOIN n USING (doc_id)""",
     "op4_warc": """
         WITH p AS (
           SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
