@@ -260,6 +260,7 @@ AUDIT = """TIMESTAMP '2001-11-07 22:00:00' AS fecha_proceso,
 ORACLE["audit_columns"] = _with(
     *REPORT, final=f"SELECT fecha_corte, uc, sub, columna, {FINAL_VALUE} AS valor, {AUDIT} FROM prorrateo"
 )
+ORACLE["report_job"] = ORACLE["audit_columns"] + " WHERE fecha_corte BETWEEN DATE '1997-01-01' AND DATE '1997-01-31'"
 ORACLE["resolve_cut_dates"] = _with(
     shapes.REQUESTS_SQL,
     final="""SELECT o_orderkey, solicitud,

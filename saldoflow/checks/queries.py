@@ -14,6 +14,7 @@ from saldoflow.functions.dates import resolve_cut_dates as resolve
 from saldoflow.operators import corpus, joins
 from saldoflow.operators.audit import add_audit_columns
 from saldoflow.operators.calendar import CutCalendar
+from saldoflow.plans.job import ReportJob, target_location
 from saldoflow.plans.report import CalendarReport
 from saldoflow.session import shared_folder
 from saldoflow.sinks.snapshot import replace_snapshots
@@ -247,6 +248,37 @@ def snapshot_replace(spark, sf_dir):
     return spark.table(table)
 
 
+@registered
+def report_job(spark, sf_dir):
+    """The batch job for every ledger date of January 1997, and once more for some of them.
+
+    Sources are named in a job parameter and bound by alias; the second run asks for its days in the other spelling.
+    """
+    tables, run = shapes.Tables(spark, sf_dir), uuid.uuid4().hex[:12]
+    frames = {"tiempo": shapes.calendar(tables), "saldos": shapes.ledger(tables), **shapes.books(tables)}
+    for name, frame in frames.items():
+        frame.createOrReplaceGlobalTempView(f"{name}_{run}")
+    days = shapes.cuts(tables).filter("fecha_corte BETWEEN DATE '1997-01-01' AND DATE '1997-01-31'").collect()
+    asked = sorted(row["fecha_corte"] for row in days)
+    scheme, _, path = f"{'' if '://' in shared_folder(spark) else 'file://'}{shared_folder(spark)}".partition("://")
+    bucket, _, folder = path.partition("/")
+    table = f"resultado_{run}"
+    job = ReportJob(
+        sources=binding.SourceBinding(binding.parse_source_list(", ".join(f"global_temp.{name}_{run}" for name in frames))),
+        calendar=f"tiempo_{run}",
+        ledger=f"saldos_{run}",
+        books={"TRAD": f"TRAD_{run}", "PIB": f"PIB_{run}"},
+        target=table,
+        location=target_location(bucket, folder, table, scheme),
+        on_zero="null",
+    )
+    job.run(spark, [day.isoformat() for day in asked], F.expr(CLOCK))
+    job.run(spark, [f"{day:%Y%m%d}" for day in asked[-3:]], F.expr(CLOCK))
+    for name in frames:
+        spark.catalog.dropGlobalTempView(f"{name}_{run}")
+    return spark.table(table).withColumn("valor", F.round("valor", 4))
+
+
 def corpus_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shapes.corpus(shapes.Tables(spark, sf_dir))
 
