@@ -2,10 +2,10 @@
 
 A page becomes a tree of elements with, for each, its characters C, link characters LC, tags T and link tags LT. Its
 density is C / T, adjusted by a logarithm that falls with the share of link characters, against the share of the
-whole body. The density sum of an element adds up its children's densities. The element with the largest sum lies in
-the main content; the least density on its path to the body is the threshold, and from the body down every element
-that reaches the threshold gives the subtree with the largest sum below it. What remains is cleaned of elements
-that are no article text by their tag or by a word of their class, id or role, before and after the choice alike.
+whole body. The density sum of an element adds up its children's densities. Elements that are no article text by their
+tag or by a word of their class, id or role are taken out first. The element with the largest sum is the main content; if it
+lies in an article, that is. The least density on its path to the body is the threshold: beside the path, elements that
+reach it stay, and so do headings and text blocks that are not mostly links.
 
 Text is whole: character references are decoded, white space inside a block becomes one space, blocks are joined in
 page order by one newline. Unclosed, misnested and cut-off markup is read as far as it goes. A null or empty page has an empty
@@ -54,6 +54,7 @@ DROPPED_WORDS = frozenset(
 # A header is dropped unless it lies in the article, where it holds its title.
 HEADER_PARENTS = frozenset(["article", "main", "section"])
 ARTICLE_TAGS = frozenset(["article", "main"])
+TEXT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl table figure br hr".split())
 
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:--!?>|$(?![\s\S]))|<[!?][^>]*(?:>|$(?![\s\S]))"
@@ -223,30 +224,27 @@ def _contents(root: Node) -> list[Node]:
     while node.parent is not None and node.parent.parent is not None:
         node = node.parent
         threshold = min(threshold, node.density)
-    top: dict[int, Node] = {}
-    for node in reversed(nodes):
-        found = node
+    whole = _whole(best)
+    if whole.tag in ARTICLE_TAGS:
+        # The page says what its article is; other articles of the same density belong to the content too.
+        return [x for x in nodes if x is whole or x.tag in ARTICLE_TAGS and x.density >= threshold and _whole(x) is x]
+    # Beside the path from the body to the best subtree, what is dense enough stays, and headings and text blocks that are not links.
+    path = {id(whole)}
+    node = whole
+    while node.parent is not None:
+        node = node.parent
+        path.add(id(node))
         for c in node.children:
-            if isinstance(c, Node) and not c.dropped and top[id(c)].total > found.total:
-                found = top[id(c)]
-        top[id(node)] = found
-    kept, stack = [], [root]
-    while stack:
-        node = stack.pop()
-        # The path from the body to the best element always reaches the threshold; go down along it.
-        chosen = top[id(node)]
-        if chosen is node or node.density >= threshold and node.parent is not None and node.tag not in ("html", "body"):
-            kept.append(chosen)
-        else:
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped and c.density >= threshold)
-    return [_whole(x) for x in kept]
+            if isinstance(c, Node) and not c.dropped and id(c) not in path and c.density < threshold and not (c.tag in TEXT_BLOCKS and 2 * c.link_chars < max(c.chars, 1)):
+                c.dropped = c.tag in BLOCKS
+    return [root]
 
 
 def _whole(node: Node) -> Node:
     """A subtree inside an article stands for the whole article: its title and short blocks belong to it."""
     found, up = node, node
     while up is not None:
-        if up.tag == "article":
+        if up.tag in ARTICLE_TAGS:
             found = up
         up = up.parent
     return found
