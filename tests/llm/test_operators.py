@@ -554,6 +554,20 @@ def test_passages_of_fifty_words_are_found(spark):
     assert passages.repeated_passages(documents(spark, [])).collect() == []
 
 
+def test_shortest_passages_with_an_edit_are_found(spark):
+    rng = random.Random(21)
+    rows = []
+    for _ in range(400):
+        passage = words(rng, 50)
+        edited = list(passage)
+        edited[rng.randint(10, 39)] = "edit"  # 41 of 51 shingles stay
+        for part in (passage, edited):
+            rows.append((len(rows), " ".join(words(rng, 60) + part + words(rng, 60))))
+    pairs = {(r.doc_id, r.other_doc_id) for r in passages.repeated_passages(documents(spark, rows)).collect()}
+    assert pairs <= {(k + 1, k) for k in range(0, 800, 2)}
+    assert len(pairs) >= 0.93 * 400
+
+
 # --- 10: token counts ---
 
 
