@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from saldoflow.llm import decontaminate, langid, minhash, packing, pii
 from saldoflow.llm.scratch import Scratch
 
+# Near copies share at least so many per cent of their word shingles; op3's own contract is 85.
+LEAST_SIMILARITY = 80
 # A text is rejected if it has no letter or if neither its family nor its language is at all likely.
 LEAST_LANGUAGE_SCORE = 0.01
 
@@ -24,7 +26,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that with the least id."""
-    return minhash.keep_one(docs)
+    return minhash.keep_one(docs, threshold=LEAST_SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
 import corpus_pipeline
 from saldoflow.llm.queries import ORACLE, QUERIES
 from tests.compare import connect, differences
 from tests.conftest import SF_DIR
-from tests.llm.test_operators import base_spans, gram_set
+from tests.llm.test_operators import base_spans, documents, gram_set, words
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -57,3 +59,19 @@ def test_run_gives_the_rows_of_the_stages(spark):
     got = corpus_pipeline.run(spark, SF_DIR)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert got.count() > 0
+
+
+def test_near_copies_from_eighty_per_cent_on_are_left_out(spark):
+    rng = random.Random(4)
+    rows, least = [], {}
+    for k in range(30):
+        base = words(rng, 120)
+        copy = list(base)
+        for place in (20, 50) if k % 3 else (20, 50, 80):  # 106 of 126 or 101 of 131 shingles stay
+            copy[place] = "edit"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+        common, every = (len(f(gram_set(rows[-2][1]), gram_set(rows[-1][1]))) for f in (set.intersection, set.union))
+        assert (80 * every <= 100 * common < 85 * every) == bool(k % 3)
+        least[k] = {2 * k} if k % 3 else {2 * k, 2 * k + 1}
+    kept = corpus_pipeline.near_duplicates(spark, documents(spark, rows), SF_DIR)
+    assert {r.doc_id for r in kept.collect()} == set().union(*least.values())
