@@ -568,6 +568,23 @@ def test_shortest_passages_with_an_edit_are_found(spark):
     assert len(pairs) >= 0.93 * 400
 
 
+def test_a_first_document_with_a_part_of_a_passage_hides_no_copies(spark):
+    rng = random.Random(12)
+    rows, planted = [], set()
+    for k in range(150):
+        passage = words(rng, 50)
+        for part in (passage[:40], passage, passage, passage):
+            rows.append((len(rows), " ".join(words(rng, 60) + part + words(rng, 60))))
+        planted |= {(4 * k + 2, 4 * k + 1), (4 * k + 3, 4 * k + 1)}
+    got = {(r.doc_id, r.other_doc_id) for r in passages.repeated_passages(documents(spark, rows)).collect()}
+    assert planted <= got and all(a // 4 == b // 4 and b % 4 for a, b in got)
+
+
+def test_unlinked_windows_meet_in_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(passages, "BLOCK_WINDOWS", 2)
+    test_a_first_document_with_a_part_of_a_passage_hides_no_copies(spark)
+
+
 # --- 10: token counts ---
 
 
