@@ -585,6 +585,21 @@ def test_unlinked_windows_meet_in_all_blocks(spark, monkeypatch):
     test_a_first_document_with_a_part_of_a_passage_hides_no_copies(spark)
 
 
+def test_an_interval_inside_a_longer_one_is_left_out_only_if_a_passage_covers_it(spark):
+    spans = spark.createDataFrame([(9, 2, 0, 0, 60), (9, 3, 0, 40, 60), (9, 4, 0, 40, 60)], passages._MET)
+    found = spark.createDataFrame([(9, 1, 30, 84, 30, 84, 1.0), (3, 1, 0, 54, 30, 84, 1.0), (2, 1, 0, 54, 30, 84, 1.0)], passages._PASSAGE)
+    assert sorted(r.other for r in passages._not_covered(spans, found).collect()) == [2, 4]
+    rng = random.Random(31)
+    rows, planted = [], set()
+    for k in range(60):
+        frame, own, b = words(rng, 20), words(rng, 54), words(rng, 30)
+        # The last document repeats 54 words of the first and, over the edge of them, 60 of the second.
+        first, second, last = frame + own + words(rng, 150), b + own[:30] + words(rng, 120), words(rng, 5) + b + own + words(rng, 150)
+        rows += [(10 * k + n, " ".join(t)) for n, t in enumerate((first, second, last))]
+        planted |= {(10 * k + 2, 10 * k), (10 * k + 2, 10 * k + 1)}
+    assert {(r.doc_id, r.other_doc_id) for r in passages.repeated_passages(documents(spark, rows)).collect()} == planted
+
+
 # --- 10: token counts ---
 
 
