@@ -2,9 +2,10 @@
 
 A text becomes hashed frequencies of byte n-grams inside words (A-Z lower-cased, other ASCII signs as blanks). A linear
 model needs no feature vector at prediction: the weight of each n-gram is looked up and summed, which takes one pass
-over the bytes. Family machines are trained one against the rest, and within a family each language against its
-siblings. Margins become probabilities by a logistic fit on the training rows; the score is the product of the
-probabilities of the chosen family and of the chosen language in it.
+over the bytes. Family machines are trained one against the rest, and within a family there is a machine for each pair of
+languages. A pair gives one vote; of the languages with most votes that with the largest sum of margins is chosen. Margins become
+probabilities by a logistic fit on the training rows, and those of pairs are coupled to one for each language; the score is the
+product of the probabilities of the chosen family and of the chosen language in it.
 
 The machines are fitted on a sample of at most about ``SAMPLE`` labelled rows per language, chosen by a hash of the
 text; every row is predicted from its whole text. Languages are those of the training rows. Families of known codes
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -99,7 +101,7 @@ def _grams(data: np.ndarray, offsets: np.ndarray, head: int) -> Iterator[tuple[n
 
 @dataclass
 class Machines:
-    """Weights of all machines side by side: column k belongs to ``names[k]``; families come first."""
+    """Weights of all machines side by side: column k belongs to ``names[k]``; families come first, then the pairs of each family (or its only language)."""
 
     names: list[str]
     families: list[str]
@@ -198,8 +200,11 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", s
     for family in kinds:
         own = families == family
         members[family] = sorted(set(langs[own].tolist()))
-        for lang in members[family]:
-            add(lang, x[own], langs[own] == lang)
+        if len(members[family]) == 1:
+            add(members[family][0], x[own], langs[own] == members[family][0])
+        for a, b in combinations(members[family], 2):
+            pair = own & ((langs == a) | (langs == b))
+            add(f"{a}/{b}", x[pair], langs[pair] == a)
     weights = np.stack(ws, axis=1) * 64.0
     return Machines(names, kinds, members, weights, np.array(bs), np.array(slopes), np.array(shifts))
 
@@ -219,6 +224,23 @@ def _margins(texts: pa.Array, machines: Machines) -> tuple[np.ndarray, np.ndarra
     return sums / np.maximum(counts, 1)[:, None] + machines.bias, counts
 
 
+def _of_pairs(margins: np.ndarray, p: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The language chosen among k by the votes of all pairs, and its probability."""
+    if k == 1:
+        return np.zeros(len(margins), dtype=int), p[:, 0]
+    votes, sums, against = (np.zeros((len(margins), k)) for _ in range(3))
+    for column, (a, b) in enumerate(combinations(range(k), 2)):
+        margin, q = margins[:, column], np.clip(p[:, column], 1e-12, 1 - 1e-12)
+        votes[:, a] += margin >= 0
+        votes[:, b] += margin < 0
+        sums[:, a] += margin
+        sums[:, b] -= margin
+        against[:, a] += 1 / q
+        against[:, b] += 1 / (1 - q)
+    best = np.where(votes == votes.max(axis=1, keepdims=True), sums, -np.inf).argmax(axis=1)
+    return best, 1 / (against[np.arange(len(best)), best] - (k - 2))
+
+
 def _choose(margins: np.ndarray, machines: Machines) -> tuple[list[str], np.ndarray]:
     p = 1 / (1 + np.exp(-np.clip(margins * machines.slope + machines.shift, -30, 30)))
     f = len(machines.families)
@@ -228,11 +250,12 @@ def _choose(margins: np.ndarray, machines: Machines) -> tuple[list[str], np.ndar
     for i, name in enumerate(machines.families):
         langs = machines.members[name]
         own = np.flatnonzero(family == i)
-        best = margins[own, column : column + len(langs)].argmax(axis=1) if len(own) else np.zeros(0, dtype=int)
-        for row, j in zip(own, best, strict=True):
+        width = max(1, len(langs) * (len(langs) - 1) // 2)
+        best, chance = _of_pairs(margins[own, column : column + width], p[own, column : column + width], len(langs))
+        for row, j, q in zip(own, best, chance, strict=True):
             names[row] = langs[j]
-            scores[row] = p[row, i] * p[row, column + j]
-        column += len(langs)
+            scores[row] = p[row, i] * q
+        column += width
     return names, scores
 
 

@@ -504,6 +504,18 @@ def test_long_texts_score_as_their_parts_together():
     assert (n == m).all() and np.allclose(whole, parts)
 
 
+def test_languages_of_a_family_are_told_by_votes_of_pairs(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("lang IN ('en', 'de', 'nl', 'fr')")
+    machines = langid.train(docs)
+    langs = machines.members["germanic"]
+    pairs = [f"{a}/{b}" for i, a in enumerate(langs) for b in langs[i + 1 :]]
+    assert machines.names[len(machines.families) :] == [x for f in machines.families for x in (pairs if f == "germanic" else machines.members[f])]
+    # c wins both of its pairs by little; a has the largest sum. A tie of votes goes to the largest sum.
+    margins = np.array([[5.0, -0.1, -0.1], [1.0, -2.0, 3.0]])  # a/b, a/c, b/c
+    best, chance = langid._of_pairs(margins, 1 / (1 + np.exp(-margins)), 3)
+    assert best.tolist() == [2, 1] and ((0 < chance) & (chance < 1)).all()
+
+
 # --- 9: repeated passages ---
 
 
