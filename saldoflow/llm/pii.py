@@ -3,12 +3,13 @@
 For each kind a base pattern with a check gives the spans that always count. A wider pattern for each kind proposes
 further, possibly overlapping spans: e-mail addresses with a spelt-out at or dot, IPv6 addresses, card numbers with other
 separators, telephone numbers without a plus. Candidates are judged by gradient-boosted trees over their format and context: kind, number of
-digits, separators, the signs on either side and a key word before.
+digits, separators, shape, the signs on either side and a key word before.
 
-The trees learn from the texts themselves: spans that pass their check are positive; matches that fail it and candidates
-glued to other letters or digits are negative. All features have few values, so Spark sums the candidates of all
-rows to a table of at most a few thousand groups, and the driver boosts on that. The threshold is the least score at
-which the precision on that table is ``PRECISION`` at least. Trees become CASE expressions: no Python runs on rows.
+The trees learn from the texts themselves: spans that pass their check are positive and matches that fail it negative; wider
+candidates are labelled by weak rules of their kind (see ``_shape_of`` and ``_likely``), glued ones are negative. All
+features have few values, so Spark sums the candidates of all rows to a table of at most a few thousand groups, and the driver
+boosts on that. Each kind has a threshold, the least score at which the precision on its wider candidates, by those
+labels, is ``PRECISION`` at least; a kind without a likely one accepts none. Trees become CASE expressions: no Python runs on rows.
 
 Offsets count code points, ends are exclusive. A null or empty text has no spans. Null ids, repeated rows and
 extra columns are kept; every row gives one row. The work for a text grows with its length and, by blocks, with
@@ -123,15 +124,43 @@ def _check(kind: str, passed: bool = True):
     return lambda x: _passes(kind, x["hit"]) if passed else ~_passes(kind, x["hit"])
 
 
-FEATURES = ("kind", "wide", "digits", "length", "marks", "left", "right", "word")
+FEATURES = ("kind", "shape", "digits", "length", "marks", "left", "right", "word")
 
 
-def _features(kind: int, wide: int, x: Column) -> list[Column]:
+def _shape_of(kind: str, hit: Column) -> Column:
+    """3: has the form of its kind; 2: has it, but so have other things; 1: has not; 0: runs over the end of a sentence."""
+    if kind == "email":
+        plain = hit.rlike(r"^[^\s\[\](){}]+@[^\s\[\](){}]+$")
+        domain = hit.rlike(r"(?i)[^a-z](?:com|org|net|edu|gov|mil|int|info|biz|name|io|co|ai|app|dev|eu|us|uk|de|fr|es|it|pt|nl|se|at|ch|be|dk|no|fi|pl|cz|ru|ua|tr|jp|cn|kr|in|au|nz|ca|br|mx|ar|example|test)$")
+        bracket, spelled = hit.rlike(r"(?i)[\[({]\s?at\s?[\])}]"), hit.rlike(r"(?i)@|[\[({\s]dot[\])}\s]")
+        broken = hit.rlike(r"\.\s|\s\.|[\r\n]")
+        named = bracket & hit.rlike(r"[^A-Za-z][A-Za-z]{2,24}$")
+        return F.when(plain, 3).when(broken, 0).when(named | domain & spelled, 3).when(domain, 2).otherwise(1)
+    if kind == "ip":
+        full = hit.rlike(r"^(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$")
+        short = hit.rlike(r"^[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*$") & (F.size(F.split(hit, ":+")) <= 7)
+        four = hit.rlike(r"^[0-9]+\.") & _passes("ip", hit)
+        return F.when(full | short | four, 3).otherwise(1)
+    if kind == "card":
+        return F.when(~_passes("card", hit), 1).when(hit.rlike("^[2-6]"), 3).otherwise(2)
+    # A number may repeat one separator; the first may be a blank after brackets.
+    alike = hit.rlike(r"^[0-9]+([\x20./-])[0-9]+\1[0-9]+$")
+    return F.when(hit.startswith("+") | hit.startswith("("), 3).when(alike, 2).otherwise(1)
+
+
+def _likely(row: tuple) -> bool:
+    """The weak label of a wider candidate with these features."""
+    of = dict(zip(FEATURES, row, strict=True))
+    told = of["shape"] == 3 or of["shape"] == 2 and of["word"] == 1 and KINDS[of["kind"]] in ("email", "phone")
+    return told and of["left"] != 1 and of["right"] != 1
+
+
+def _features(kind: int, x: Column) -> list[Column]:
     hit = x["hit"]
     n = F.char_length(_digits(hit))
     return [
         F.lit(kind).alias("kind"),
-        F.lit(wide).alias("wide"),
+        _shape_of(KINDS[kind], hit).alias("shape"),
         F.least(n, F.lit(20)).alias("digits"),
         F.least((F.char_length(hit) / 8).cast("int"), F.lit(5)).alias("length"),
         F.least(F.char_length(F.regexp_replace(hit, r"[\p{L}\p{N}]", "")), F.lit(6)).alias("marks"),
@@ -141,8 +170,8 @@ def _features(kind: int, wide: int, x: Column) -> list[Column]:
     ]
 
 
-def _shape(kind: int, wide: int):
-    return lambda x: F.struct(*_features(kind, wide, x))
+def _shape(kind: int):
+    return lambda x: F.struct(*_features(kind, x))
 
 
 def candidates(docs: DataFrame, text_col: str) -> DataFrame:
@@ -165,9 +194,9 @@ def candidates(docs: DataFrame, text_col: str) -> DataFrame:
     good = {k: F.filter(f"__pb_{k}", _check(k)) for k in KINDS}
     for k in KINDS:
         found = found.withColumn(f"__good_{k}", good[k])
-    judged = lambda i: (lambda x: F.struct(span(x).alias("span"), _shape(i, 1)(x).alias("f")))
-    passed = F.concat(*[F.transform(f"__good_{k}", _shape(i, 0)) for i, k in enumerate(KINDS)])
-    failed = F.concat(*[F.transform(F.filter(f"__pb_{k}", _check(k, False)), _shape(i, 0)) for i, k in enumerate(KINDS)])
+    judged = lambda i: (lambda x: F.struct(span(x).alias("span"), _shape(i)(x).alias("f")))
+    passed = F.concat(*[F.transform(f"__good_{k}", _shape(i)) for i, k in enumerate(KINDS)])
+    failed = F.concat(*[F.transform(F.filter(f"__pb_{k}", _check(k, False)), _shape(i)) for i, k in enumerate(KINDS)])
     overlaps = lambda w: F.exists(F.concat(*[F.transform(f"__good_{k}", span) for k in KINDS]), lambda b: (b["s"] < w["e"]) & (w["s"] < b["e"]))
     wide = F.concat(*[F.transform(F.filter(f"__pw_{k}", lambda x: ~overlaps(x)), judged(i)) for i, k in enumerate(KINDS)])
     return found.select(
@@ -241,37 +270,51 @@ def _tree_column(tree, f: Column) -> Column:
 
 
 class Judge:
-    """Boosted trees and the score from which a wider candidate counts."""
+    """Boosted trees and, for each kind, the score from which a wider candidate counts."""
 
-    def __init__(self, start: float, trees: list, threshold: float):
-        self.start, self.trees, self.threshold = start, trees, threshold
+    def __init__(self, start: float, trees: list, thresholds: list[float]):
+        self.start, self.trees, self.thresholds = start, trees, thresholds
 
     @classmethod
     def fit(cls, found: DataFrame) -> Judge:
         """From the output of :func:`candidates`; the driver gets one row for each group of equal features."""
         names = [F.col(f"x.{n}").alias(n) for n in FEATURES]
-        passed = found.select(F.explode("passed").alias("x")).select(*names, F.lit(1).alias("y"))
-        failed = found.select(F.explode("failed").alias("x")).select(*names, F.lit(0).alias("y"))
-        glued = found.select(F.explode("wide.f").alias("x")).where("x.left = 1 OR x.right = 1").select(*names, F.lit(0).alias("y"))
-        table = passed.union(failed).union(glued).groupBy(*FEATURES).agg(F.sum("y").alias("pos"), F.count("*").alias("n")).collect()
-        table = sorted((tuple(r[: len(FEATURES)]), float(r["pos"]), float(r["n"])) for r in table)
-        rows, positive, count = [t[0] for t in table], [t[1] for t in table], [t[2] for t in table]
+        sides = [("passed", "passed"), ("failed", "failed"), ("wide", "wide.f")]
+        of = lambda side: (lambda x: F.struct(F.lit(side).alias("side"), x.alias("x")))
+        every = F.concat(*[F.transform(c, of(side)) for side, c in sides])
+        table = found.select(F.explode(every).alias("e")).select("e.side", "e.x").groupBy("side", *names).agg(F.count("*").alias("n")).collect()
+        table = sorted((r["side"], tuple(r[n] for n in FEATURES), float(r["n"])) for r in table)
+        rows, count = [r for _, r, _ in table], [n for _, _, n in table]
+        positive = [n * (side == "passed" or side == "wide" and _likely(r)) for side, r, n in table]
         start, trees = boost(rows, positive, count)
-        scored = sorted(((start + sum(_value(t, r) for t in trees), p, n) for r, p, n in zip(rows, positive, count, strict=True)), reverse=True)
-        threshold, good, seen = math.inf, 0.0, 0.0
+        scored = [(start + sum(_value(t, r) for t in trees), r[0], p, n) for (side, r, n), p in zip(table, positive, strict=True) if side == "wide"]
+        return cls(start, trees, [cls._threshold([(score, p, n) for score, k, p, n in scored if k == kind]) for kind in range(len(KINDS))])
+
+    @staticmethod
+    def _threshold(scored: list[tuple[float, float, float]]) -> float:
+        """Groups of one score count together: all of them are accepted, or none."""
+        by_score = defaultdict(lambda: [0.0, 0.0])
         for score, p, n in scored:
-            good, seen = good + p, seen + n
+            by_score[score][0] += p
+            by_score[score][1] += n
+        threshold, good, seen = math.inf, 0.0, 0.0
+        for score in sorted(by_score, reverse=True):
+            good, seen = good + by_score[score][0], seen + by_score[score][1]
             if good >= PRECISION * seen:
                 threshold = score
-        return cls(start, trees, max(threshold, 0.0))
+        return threshold - 1e-9  # sums may round otherwise
 
     def accepts(self, f: Column) -> Column:
-        if not self.trees or math.isinf(self.threshold):
+        if not self.trees or all(map(math.isinf, self.thresholds)):
             return F.lit(False)
         total = F.lit(float(self.start))
         for t in self.trees:
             total = total + _tree_column(t, f)
-        return total >= self.threshold
+        least = F.lit(None).cast("double")
+        for kind, threshold in enumerate(self.thresholds):
+            if not math.isinf(threshold):
+                least = F.when(f["kind"] == kind, float(threshold)).otherwise(least)
+        return F.coalesce(total >= least, F.lit(False))
 
 
 def _listed(kind: str, spans: Column) -> Column:

@@ -196,6 +196,24 @@ def test_personal_data_of_nothing(spark):
     assert pii.redact(documents(spark, [])).collect() == []
 
 
+def test_wider_spans_are_added_where_their_form_is_that_of_their_kind(spark):
+    rng = random.Random(9)
+    prose = [" ".join(words(rng, 8) + [rng.choice(["from at and. Of", "look at home. Then", "was at work.Later on"])] + words(rng, 8)) for _ in range(200)]
+    known = [" ".join(words(rng, 8) + [f"{words(rng, 1)[0]}@{words(rng, 1)[0]}.com"] + words(rng, 3)) for _ in range(200)]
+    other = ["at 10:20:30 or 12:34:56 we", "code 1234.5678.9012.3456 here", "room 12 555 1234 left", "look at www.site.com now"] * 10
+    wide = {
+        "write bob at site dot org": "bob at site dot org", "to ann [at] site [dot] net now": "ann [at] site [dot] net", "mail: tim at site.com": "tim at site.com",
+        "on 2001:db8::ff00:42:8329 now": "2001:db8::ff00:42:8329", "paid 4111.1111.1111.1111 now": "4111.1111.1111.1111", "call 555-123-4567": "555-123-4567", "or (020) 555 1234": "(020) 555 1234",
+    }
+    texts = prose + known + other + list(wide) * 10
+    got = {r.doc_id: r for r in pii.find(documents(spark, enumerate(texts))).collect()}
+    assert {texts[i] for i, r in got.items() if r.n_added} == set(wide)
+    for i, r in got.items():
+        if r.n_added:
+            _, a, b = r.spans.split(":")
+            assert texts[i][int(a) : int(b)] == wide[texts[i]]
+
+
 # --- 3: near duplicates ---
 
 
