@@ -1,12 +1,13 @@
 """Benchmark passages in documents, found over edits by an embedding of edit distance into Hamming distance.
 
-Texts are sequences of plain words: letters and digits, lower-cased; all other ASCII signs are blanks. An item is matched as a
+Texts are sequences of plain words: letters and digits, lower-cased; all other ASCII signs are blanks, and
+each letter of a script without blanks is a word. An item is matched as a
 whole if it has at most ``PART`` words, and else in consecutive parts of about that many, so that windows are bounded.
 A match is a passage within an edit distance (of words) of ``EDITS`` times the words of the part.
 
 1. A window of as many words as a part can only match if at least n - 1 - 2d of its word pairs are pairs of a part of that
    size, for d allowed edits: a word replaced or left out spoils two pairs, a word put in spoils one and pushes one
-   out of the window. Of the windows around a place only those count that hold nearly the most pairs there. A table of fixed size says for a word pair of which sizes there are parts with it; a few pairs more
+   out of the window. A table of fixed size says for a word pair of which sizes there are parts with it; a few pairs more
    pass for a large benchmark, none is lost.
 2. The windows left are embedded by random walks: at each step a bit drawn from the step and the word under the
    reader says whether the reader moves on. Sequences at a small edit distance then agree in many places. ``SAMPLED``
@@ -14,7 +15,8 @@ A match is a passage within an edit distance (of words) of ``EDITS`` times the w
    allowed the recall is about 0.998. A second filter holds back windows without a key of any part.
 3. Windows and parts meet in a join on their keys, and the exact distance of the part to the best passage around the window decides.
 
-Items of fewer than ``LEAST_WORDS`` words, and null items, match nothing: they occur by chance. Null or empty texts have no
+Items of fewer than ``LEAST_WORDS`` words match where all of their words follow each other unchanged, also if that is one word:
+which items are worth looking for is up to the benchmark. Null items, and items without words, match nothing. Null or empty texts have no
 matches. Repeated item ids match as often as they occur, once per part. A document that occurs twice with one id is one
 document. Null ids of documents take no part in ``matches`` and are kept by ``clean``. Extra columns are ignored by ``matches`` and kept by ``clean``.
 """
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saldoflow.llm.scratch import BitFilter, Scratch
-from saldoflow.llm.words import mix, word_slices
+from saldoflow.llm.words import mix, shingles, word_slices
 
 EDITS = 0.2
 LEAST_WORDS = 8
@@ -41,6 +43,8 @@ MOST_SLOTS = 1 << 21
 
 _PART = "item_id long, part int, n int, words binary, keys array<long>, pairs array<long>, different int"
 _WINDOW = "key long, doc_id long, start int, n int, words binary"
+_SHORT = "item_id long, n int, key long"
+_RUN = "key long, n int, doc_id long, start long"
 _MATCH = "doc_id long, item_id long, part int, start long, stop long, n_words int, edits int, similarity double"
 
 
@@ -151,17 +155,7 @@ def window_starts(at: np.ndarray, n: int, bounds: np.ndarray) -> np.ndarray:
     sizes = (high - low + 1)[good]
     ends = np.cumsum(sizes)
     starts = np.unique(np.arange(ends[-1] if len(ends) else 0) + np.repeat(low[good] - (ends - sizes), sizes))
-    if not len(starts):
-        return starts
-    # Around a passage all shifts qualify; those with d pairs less than the best one nearby are not its beginning.
-    count = np.searchsorted(at, starts + n - 1) - np.searchsorted(at, starts)
-    kept, reach = [], n // 2
-    for some, own in zip(*[np.split(x, np.flatnonzero(np.diff(starts) > reach) + 1) for x in (starts, count)], strict=True):
-        dense = np.full(int(some[-1] - some[0]) + 1 + 2 * reach, -1)
-        dense[some - some[0] + reach] = own
-        best = np.lib.stride_tricks.sliding_window_view(dense, 2 * reach + 1)[some - some[0]].max(axis=1)
-        kept.append(some[own >= best - _allowed(n)])
-    return np.concatenate(kept)
+    return starts
 
 
 def _different(pairs: np.ndarray) -> np.ndarray:
@@ -233,18 +227,61 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=[x.split()[0] for x in _MATCH.split(", ")])
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``(doc_id, item_id, part, start, stop, n_words, edits, similarity)``: places in words of each part in each document."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "decontaminate")
-    items = benchmark.select(F.col(item_id).cast("long"), F.col(item_text).cast("string")).mapInArrow(_parts_of, _PART)
+def _run_keys(words: np.ndarray, n: int) -> np.ndarray:
+    return mix(shingles(words, n) + np.uint64(n))
+
+
+def _short_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, out = batch.column(0).to_pylist(), []
+        for first, last, hashes, bounds, _, _ in word_slices(batch.column(1), plain=True):
+            for i in range(first, last):
+                words = hashes[bounds[i - first] : bounds[i - first + 1]]
+                if 0 < len(words) < LEAST_WORDS:
+                    out.append((ids[i], len(words), int(_run_keys(words, len(words)).view(np.int64)[0])))
+        kinds = (pa.int64(), pa.int32(), pa.int64())
+        yield pa.record_batch([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], names=["item_id", "n", "key"])
+
+
+def _runs(sizes: list[int], key_filter: BitFilter):
+    """The runs of words that may be a short item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for first, _, words, bounds, _, _ in word_slices(batch.column(1), plain=True):
+                for n in sizes:
+                    keys = _run_keys(words, n)
+                    at = np.flatnonzero(key_filter.passes(keys))
+                    text = np.searchsorted(bounds, at, side="right") - 1
+                    inside = at + n <= bounds[text + 1]  # not across two texts
+                    at, text = at[inside], text[inside]
+                    columns = [pa.array(keys[at].view(np.int64)), pa.array(np.full(len(at), n, dtype=np.int32)), pa.array(ids[first + text].astype(np.int64)), pa.array((at - bounds[text]).astype(np.int64))]
+                    yield pa.record_batch(columns, names=["key", "n", "doc_id", "start"])
+
+    return run
+
+
+def _exact(texts: DataFrame, asked: DataFrame, scratch: Scratch) -> DataFrame:
+    """The matches of items of fewer than ``LEAST_WORDS`` words."""
+    items, seen = scratch.save_measured(asked.mapInArrow(_short_of, _SHORT), n=F.count("*"), sizes=F.collect_set("n"))
+    if not seen["n"]:
+        return texts.sparkSession.createDataFrame([], _MATCH)
+    runs = texts.mapInArrow(_runs(sorted(seen["sizes"]), BitFilter.of(items, "key", seen["n"])), _RUN)
+    met = runs.join(items, ["key", "n"])
+    return met.selectExpr("doc_id", "item_id", "0 AS part", "start", "start + n AS stop", "n AS n_words", "0 AS edits", "1D AS similarity").distinct()
+
+
+def _near(texts: DataFrame, asked: DataFrame, scratch: Scratch) -> DataFrame:
+    """The matches of items of ``LEAST_WORDS`` words at least."""
+    items = asked.mapInArrow(_parts_of, _PART)
     items, seen = scratch.save_measured(items, n=F.count("*"), keys=F.coalesce(F.sum(F.size("keys")), F.lit(0)), pairs=F.coalesce(F.sum(F.size("pairs")), F.lit(0)))
     if not seen["n"]:
-        return spark.createDataFrame([], _MATCH)
+        return texts.sparkSession.createDataFrame([], _MATCH)
     sizes = {r.n: r.different for r in items.groupBy("n").agg(F.min("different").alias("different")).orderBy("n").collect()}
     table = _pair_table(items, seen["pairs"])
     key_filter = BitFilter.of(items.select(F.explode("keys").alias("key")), "key", seen["keys"])
-    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     windows = texts.mapInArrow(_windows(sizes, table, key_filter), _WINDOW)
     keyed = items.select(F.explode(F.array_distinct("keys")).alias("key"), "n", "item_id", "part", F.col("words").alias("item_words"))
     met = windows.join(keyed, ["key", "n"])
@@ -255,6 +292,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return asked.mapInArrow(_judge, _MATCH).distinct()
 
 
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``(doc_id, item_id, part, start, stop, n_words, edits, similarity)``: places in words of each part in each document."""
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    asked = benchmark.select(F.col(item_id).cast("long"), F.col(item_text).cast("string"))
+    return _near(texts, asked, scratch).union(_exact(texts, asked, scratch))
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a benchmark passage; columns stay as they are."""
     found = matches(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__matched")).distinct()

@@ -53,6 +53,16 @@ def fold_latin(data: np.ndarray) -> np.ndarray:
     return np.where(upper, data + np.uint8(0x20), data)
 
 
+def _single_signs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the letters in UTF-8 bytes of scripts written without blanks: Han, kana, Thai, Lao, Burmese, Khmer."""
+    a, b = data[:-1], data[1:]
+    within = lambda low, high: (b >= low) & (b <= high)
+    three = ((a >= 0xE4) & (a <= 0xE9) & within(0x80, 0xBF)) | ((a == 0xE3) & (within(0x81, 0x83) | within(0x90, 0xBF))) | ((a == 0xEF) & within(0xA4, 0xAB))
+    three |= ((a == 0xE0) & within(0xB8, 0xBB)) | ((a == 0xE1) & (within(0x80, 0x82) | within(0x9E, 0x9F)))
+    three, four = np.flatnonzero(three), np.flatnonzero((a == 0xF0) & within(0xA0, 0xB3))
+    return np.concatenate([three, four]), np.concatenate([three + 3, four + 4])
+
+
 def _hash_words(data: np.ndarray, breaks: np.ndarray, fold: bool, plain: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words in ``data``; a word also ends at each offset in ``breaks``."""
     n = len(data)
@@ -61,6 +71,7 @@ def _hash_words(data: np.ndarray, breaks: np.ndarray, fold: bool, plain: bool =
         return np.zeros(0, dtype=np.uint64), empty, empty
     if plain:
         data = fold_latin(data)
+        breaks = np.concatenate([breaks, *_single_signs(data)])
     space = (_MARK if plain else _SPACE)[data]
     before = np.empty(n + 1, dtype=bool)
     before[0] = True
@@ -113,7 +124,8 @@ def word_slices(
 
     ``hashes[bounds[i]:bounds[i + 1]]`` are the words of text ``first + i``; ``starts`` and ``ends`` are their byte
     offsets in the text. Without ``fold`` the hash tells upper from lower case. With ``plain`` all
-    ASCII signs but letters and digits are blanks, and Latin letters with marks are lower-cased too.
+    ASCII signs but letters and digits are blanks, Latin letters with marks are lower-cased too, and each letter of a script
+    without blanks is a word.
     """
     data, offsets = buffers(texts)
     first = 0

@@ -488,6 +488,20 @@ def test_passage_distance_is_the_least_over_all_runs():
         assert edits == want == distance(item, text[start:stop])
 
 
+def test_short_items_and_scripts_without_blanks_are_found(spark):
+    han = "".join(chr(0x4E00 + 37 * k) for k in range(30))
+    items = [(1, "Who wrote it?"), (2, han), (3, han[:5]), (4, None), (5, "?!")]
+    edited = han[:12] + chr(0x9000) + han[13:]
+    rows = [(1, "so who WROTE it, then"), (2, "who wrote"), (3, "it who wrote"), (4, f"x。{edited}と"), (5, f"{han[1:6]} x"), (6, f"a{han[:5]}b"), (None, "who wrote it")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.matches(documents(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id, r.edits) for r in got} == {(1, 1, 0), (4, 2, 1), (4, 3, 0), (6, 3, 0)}
+    assert [(r.start, r.stop) for r in got if r.doc_id == 1] == [(1, 4)]
+    # Edits gathered in one half do not hide a start beside a clean one.
+    places = np.concatenate([np.arange(0, 19), np.arange(20, 31)])
+    assert {0, 20} <= set(decontaminate.window_starts(places, 20, np.array([0, 60])).tolist())
+
+
 # --- 8: language ---
 
 
