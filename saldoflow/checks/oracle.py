@@ -7,13 +7,14 @@ calendar row of a cut, one grouped query per segment and book, one scan per tota
 from __future__ import annotations
 
 from saldoflow.checks import shapes
+from saldoflow.checks.statement_forms import FORMS_SQL
 from saldoflow.operators.segments import SEGMENTS, WEEKEND_LABELS
 
 ORACLE: dict[str, str] = {}
 
 
 def _with(*parts: str, final: str) -> str:
-    return "WITH " + ",".join(parts) + "\n" + final
+    return "WITH " + ("RECURSIVE " if FORMS_SQL in parts else "") + ",".join(parts) + "\n" + final
 
 
 KEY = "CAST(strftime(fecha_corte, '%Y%m%d') AS INTEGER)"
@@ -425,7 +426,7 @@ ORACLE["corpus_source_list"] = _with(
     final="""SELECT query_id, string_agg(esquema || '.' || tabla, ',' ORDER BY posicion) AS fuentes
              FROM fuentes GROUP BY query_id""",
 )
-ORACLE["corpus_ctes"] = _with(shapes.CORPUS_SQL, BODIES_SQL, final="SELECT * FROM cuerpos")
+ORACLE["corpus_ctes"] = _with(shapes.CORPUS_SQL, BODIES_SQL, final="SELECT *, 0 AS profundidad, true AS valido FROM cuerpos")
 ORACLE["corpus_lineage"] = _with(
     shapes.CORPUS_SQL,
     SOURCES_SQL,
@@ -448,3 +449,30 @@ ORACLE["corpus_params"] = _with(
                     regexp_matches(cuerpo, '\\b' || strftime(fecha_dominante, '%Y%m%d') || '\\b') AS usa_fecha_corte
              FROM cuerpos c JOIN dominante d ON d.query_id = c.query_id""",
 )
+
+ORACLE["corpus_statement_ctes"] = _with(
+    FORMS_SQL,
+    final="""SELECT query_id, posicion, nombre, es_final, replace(cuerpo, '{k}', k) AS cuerpo, profundidad, valido
+             FROM pedidos JOIN partes USING (f)""",
+)
+ORACLE["corpus_statement_sources"] = _with(
+    FORMS_SQL,
+    final="""SELECT query_id, posicion, catalogo, esquema, replace(tabla, '{k}', k) AS tabla,
+                    esquema || '.' || replace(tabla, '{k}', k) AS nombre_completo FROM pedidos JOIN tablas USING (f)""",
+)
+ORACLE["corpus_statement_source_list"] = _with(
+    FORMS_SQL,
+    final="""SELECT query_id, string_agg(esquema || '.' || replace(tabla, '{k}', k), ',' ORDER BY posicion) AS fuentes
+             FROM pedidos JOIN tablas USING (f) GROUP BY query_id""",
+)
+ORACLE["corpus_statement_edges"] = _with(
+    FORMS_SQL,
+    final="""SELECT query_id, desde_posicion, d.nombre AS desde, hacia_posicion, h.nombre AS hacia
+             FROM pedidos JOIN lecturas USING (f) JOIN partes d ON d.f = lecturas.f AND d.posicion = desde_posicion
+                  JOIN partes h ON h.f = lecturas.f AND h.posicion = hacia_posicion""",
+)
+ORACLE["corpus_statement_lineage"] = _with(
+    FORMS_SQL,
+    final="""SELECT query_id, a.posicion AS cte_posicion, nombre, replace(nombre_completo, '{k}', k) AS nombre_completo
+             FROM pedidos JOIN alcanzadas a USING (f) JOIN partes p ON p.f = a.f AND p.posicion = a.posicion""",
+)

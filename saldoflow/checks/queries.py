@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldoflow.checks import shapes
+from saldoflow.checks import shapes, statement_forms
 from saldoflow.functions.dates import cut_table
 from saldoflow.functions.dates import resolve_cut_dates as resolve
 from saldoflow.operators import corpus, joins
@@ -332,3 +332,32 @@ def corpus_lineage(spark, sf_dir):
 @registered
 def corpus_params(spark, sf_dir):
     return corpus.cte_parameters(corpus_for(spark, sf_dir))
+
+
+def statements_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return statement_forms.statements(shapes.Tables(spark, sf_dir))
+
+
+@registered
+def corpus_statement_ctes(spark, sf_dir):
+    return corpus.query_ctes(statements_for(spark, sf_dir))
+
+
+@registered
+def corpus_statement_sources(spark, sf_dir):
+    return corpus.source_references(statements_for(spark, sf_dir))
+
+
+@registered
+def corpus_statement_source_list(spark, sf_dir):
+    return corpus.source_list(statements_for(spark, sf_dir))
+
+
+@registered
+def corpus_statement_edges(spark, sf_dir):
+    return corpus.cte_edges(statements_for(spark, sf_dir))
+
+
+@registered
+def corpus_statement_lineage(spark, sf_dir):
+    return corpus.resolved_lineage(statements_for(spark, sf_dir))

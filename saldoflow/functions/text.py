@@ -6,13 +6,8 @@ repeats: they scan literals of any length without backtracking or recursion.
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 # Fixed patterns.
 LINE_COMMENT = r"--[^\n]*+"
@@ -23,14 +18,8 @@ STRING_LITERAL = r"'[^']*+(?:''[^']*+)*+'"
 QUOTED_NAME = r'"[^"]*+(?:""[^"]*+)*+"'
 _WORD = r"[\p{L}\p{N}_.$]"
 _DATE_CANDIDATE = rf"{STRING_LITERAL}|{QUOTED_NAME}|\d{{8}}(?<!{_WORD}\d{{8}})(?!{_WORD})"
+_DATE_SPELLING = rf"'\d{{4}}-\d{{2}}-\d{{2}}'|(?<!{_WORD})(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{8}})(?!{_WORD})"
 _DATE_TOKEN = r"^(?:'(?:\d{4}-\d{2}-\d{2}|\d{8})'|\d{8})$"
-# FROM inside EXTRACT(...), TRIM(...), SUBSTRING(...), OVERLAY(...) and IS DISTINCT FROM names no table.
-_NESTED = r"(?:'[^']*+'|\([^()']*+(?:'[^']*+'[^()']*+)*+\))"
-_FUNCTION_FROM = rf"(?:EXTRACT|TRIM|SUBSTRING|OVERLAY)\s*\([^()']*?(?:{_NESTED}[^()']*?)*?\sFROM\s"
-_NAME = r"[^\s,;()]+"
-_TABLE_LIST = rf"(?:FROM|JOIN)\s+({_NAME}(?:(?:\s+(?:AS\s+)?\w+)?\s*,\s*{_NAME})*+)"
-_TABLE_LIST_OR_SKIPPED = rf"(?i){STRING_LITERAL}|{QUOTED_NAME}|\b(?:{_TABLE_LIST}|DISTINCT\s+FROM\s|{_FUNCTION_FROM})"
-
 # Markers put in the place of the dominant date.
 ISO_MARKER = "{fecha_corte_iso}"
 COMPACT_MARKER = "{fecha_corte}"
@@ -94,97 +83,26 @@ def parameterised(clean: Column, literals: Column, date: Column) -> Column:
 
     ISO spellings, quoted or bare, become ``ISO_MARKER``; the compact spelling becomes ``COMPACT_MARKER``. Only
     whole tokens are replaced, as ``date_literals`` takes them: longer numbers, names that contain the digits and quoted names stay.
+    All dates are found by one fixed pattern and compared with the row's own, so no pattern is made for a row.
     """
     iso, compact = F.date_format(date, "yyyy-MM-dd"), F.date_format(date, "yyyyMMdd")
-    has_iso = F.exists(literals, lambda d: d["literal"] == iso)
-    has_compact = F.exists(literals, lambda d: d["literal"] == compact)
-    whole = lambda digits: F.concat(F.lit(rf"(?<!{_WORD})"), digits, F.lit(rf"(?!{_WORD})"))
-    iso_pattern = F.concat(F.lit("'"), iso, F.lit("'|"), whole(iso))
-
-    def replaced(part: Column) -> Column:
-        step = F.when(has_iso, F.regexp_replace(part, iso_pattern, F.lit(ISO_MARKER))).otherwise(part)
-        return F.when(has_compact, F.regexp_replace(step, whole(compact), F.lit(COMPACT_MARKER))).otherwise(step)
-
-    # Quoted names are found beside literals, which may hold a double quote, and put back as they are.
-    quoted = rf"{STRING_LITERAL}|{QUOTED_NAME}"
-    pieces, hits = F.split(clean, quoted, -1), F.regexp_extract_all(clean, F.lit(quoted), F.lit(0))
-    rest = F.zip_with(
-        hits,
-        F.slice(pieces, 2, F.size(hits)),
-        lambda hit, piece: F.concat(F.when(hit.startswith('"'), hit).otherwise(replaced(hit)), replaced(piece)),
+    iso_here = F.when(F.exists(literals, lambda d: d["literal"] == iso), iso)
+    compact_here = F.when(F.exists(literals, lambda d: d["literal"] == compact), compact)
+
+    def woven(text: Column, pattern: str, change) -> Column:
+        """The text with every hit of a pattern changed."""
+        between, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        rest = F.zip_with(hits, F.slice(between, 2, F.size(hits)), lambda hit, piece: F.concat(change(hit), piece))
+        return F.concat(F.get(between, F.lit(0)), F.array_join(rest, ""))
+
+    def marker(hit: Column) -> Column:
+        is_iso = (hit == iso_here) | (hit == F.concat(F.lit("'"), iso_here, F.lit("'")))
+        return F.when(is_iso, ISO_MARKER).when(hit == compact_here, COMPACT_MARKER).otherwise(hit)
+
+    # Only a text with a double quote can hold a quoted name; there literals, which may hold a quote too, are stepped over one by one.
+    stepped = woven(
+        clean,
+        rf"{STRING_LITERAL}|{QUOTED_NAME}|{_DATE_SPELLING}",
+        lambda hit: F.when(hit.startswith('"'), hit).otherwise(woven(hit, _DATE_SPELLING, marker)),
     )
-    split_up = F.concat(replaced(F.get(pieces, F.lit(0))), F.array_join(rest, ""))
-    return F.when(clean.contains('"'), split_up).otherwise(replaced(clean))
-
-
-def table_references(clean: Column) -> Column:
-    """Schema-qualified tables after FROM / JOIN, each once in order of first use.
-
-    ``array<struct<catalogo, esquema, tabla, nombre_completo>>``; unqualified names (CTEs) are skipped.
-    """
-    lists = F.regexp_extract_all(clean, F.lit(_TABLE_LIST_OR_SKIPPED), F.lit(1))
-    items = F.flatten(F.transform(F.filter(lists, lambda text: text != ""), lambda text: F.split(text, ",")))
-    names = F.transform(items, lambda item: F.translate(F.substring_index(F.trim(item), " ", 1), '"`', ""))
-    parts = F.transform(F.filter(names, lambda n: n.contains(".")), lambda n: F.split(n, r"\."))
-    return F.array_distinct(
-        F.transform(
-            parts,
-            lambda p: F.struct(
-                F.try_element_at(p, F.lit(-3)).alias("catalogo"),
-                F.element_at(p, -2).alias("esquema"),
-                F.element_at(p, -1).alias("tabla"),
-                F.concat(F.element_at(p, -2), F.lit("."), F.element_at(p, -1)).alias("nombre_completo"),
-            ),
-        )
-    )
-
-
-_WITH = re.compile(r"\s*WITH\s+(?:RECURSIVE\s+)?", re.IGNORECASE)
-_CTE_HEAD = re.compile(r"\s*(\w+|\"[^\"]+\")(?:\s*\([^()]*\))?\s+AS\s*(?:(?:NOT\s+)?MATERIALIZED\s*)?\(", re.IGNORECASE)
-_BRACKET_OR_QUOTED = re.compile(r"'[^']*'|\"[^\"]*\"|[()]")
-_COMMA = re.compile(r"\s*,")
-_PARTS = T.ArrayType(
-    T.StructType().add("nombre", T.StringType()).add("es_final", T.BooleanType()).add("cuerpo", T.StringType())
-)
-
-
-def _cte_splitter():
-    """The splitting function. Its parts are nested so that Spark ships them to the workers by value and
-    executors need no copy of this package."""
-
-    def closing(sql: str, start: int) -> int:
-        """Index after the bracket that closes the one just before ``start``; -1 if there is none."""
-        depth = 1
-        for token in _BRACKET_OR_QUOTED.finditer(sql, start):
-            depth += {"(": 1, ")": -1}.get(token.group(), 0)
-            if depth == 0:
-                return token.end()
-        return -1
-
-    def parts(sql: str | None) -> list[dict]:
-        if sql is None:
-            return []
-        found: list[dict] = []
-        opening = _WITH.match(sql)
-        at, more = (opening.end(), True) if opening else (0, False)
-        while more:
-            head = _CTE_HEAD.match(sql, at)
-            end = closing(sql, head.end()) if head else -1
-            if end < 0:
-                break
-            body = sql[head.end() : end - 1].strip()
-            found.append({"nombre": head.group(1).strip('"'), "es_final": False, "cuerpo": body})
-            comma = _COMMA.match(sql, end)
-            at, more = (comma.end(), True) if comma else (end, False)
-        found.append({"nombre": None, "es_final": True, "cuerpo": sql[at:].strip()})
-        return found
-
-    def split_batch(sql: pd.Series) -> pd.Series:
-        return sql.map(parts)
-
-    return pandas_udf(split_batch, _PARTS)
-
-
-# CTE bodies in order, then one entry with the statement left without its WITH clause. Bracket matching cannot
-# be written as a regular expression; this is the one Python step of the corpus jobs and gets Arrow batches.
-split_ctes = _cte_splitter()
+    return F.when(clean.contains('"'), stepped).otherwise(woven(clean, _DATE_SPELLING, marker))

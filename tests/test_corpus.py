@@ -159,6 +159,23 @@ def test_statement_without_ctes_and_broken_brackets(spark):
     assert ops.query_ctes(texts(spark, None)).count() == 0
 
 
+def test_parts_of_ctes_and_lists_of_any_length(spark):
+    """More tables than one run of the fold holds, and deep brackets."""
+    sql = "WITH a AS (SELECT 1 FROM " + ", ".join(f"s.t{i} x{i}" for i in range(700)) + ") SELECT " + "(" * 500 + "1" + ")" * 500 + " FROM a"
+    assert ops.source_references(texts(spark, sql)).count() == 700
+    assert [(r["desde"], r["hacia"]) for r in ops.cte_edges(texts(spark, sql)).collect()] == [(None, "a")]
+    assert [r["valido"] for r in ops.query_ctes(texts(spark, sql, sql + ")")).orderBy("query_id").collect()] == [True, True, False, False]
+
+
+def test_keywords_inside_names_and_literals(spark):
+    sql = "SELECT t.from, fromage, 'a FROM x.y', from_x FROM a.from_t WHERE t.join = 1 AND into_x = (SELECT max(n) FROM b.u FOR UPDATE OF c.v)"
+    assert sources(spark, sql) == ["a.from_t", "b.u"]
+    assert sources(spark, 'SELECT 1 FROM"a"."t"JOIN`b`.`u`USING (id)') == ["a.t", "b.u"]
+    assert sources(spark, "DELETE FROM a.t USING b.u, c.v x WHERE 1 = 1") == ["a.t", "b.u", "c.v"]
+    assert sources(spark, "SELECT 1 FROM a.t LATERAL VIEW explode(x.y) e AS p, q.r") == ["a.t", "q.r"]
+    assert sources(spark, "INSERT INTO a.t VALUES (1) ON DUPLICATE KEY UPDATE b.c = 1") == ["a.t"]
+
+
 def test_lineage(spark):
     sql = "WITH a AS (SELECT 1 FROM s.t JOIN r.u ON 1=1), b AS (SELECT 1 FROM a) SELECT 1 FROM b, z.w"
     rows = ops.lineage(texts(spark, sql)).orderBy("cte_posicion", "posicion").collect()
@@ -191,6 +208,8 @@ ALL_OPS = (
     ops.parameterise,
     ops.query_ctes,
     ops.lineage,
+    ops.cte_edges,
+    ops.resolved_lineage,
     ops.cte_parameters,
 )
 
