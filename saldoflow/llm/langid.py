@@ -7,12 +7,12 @@ languages. A pair gives one vote; of the languages with most votes that with the
 probabilities by a logistic fit on the training rows, and those of pairs are coupled to one for each language; the score is the
 product of the probabilities of the chosen family and of the chosen language in it.
 
-The machines are fitted on a sample of at most about ``SAMPLE`` labelled rows per language, chosen by a hash of the
-text; every row is predicted from its whole text. Languages are those of the training rows. Families of known codes
+The machines are fitted on a sample of about ``SAMPLE`` labelled texts per language (never more than twice that), chosen by a hash of the
+text, copies counting once; every row is predicted from its whole text. Languages are those of the training rows. Families of known codes
 are given by ``FAMILIES``; any other language is a family of its own.
 
 A null text, or one without a letter, is ``und`` with score 0. Without any training row every text is ``und``. An empty
-table gives no rows. Repeated rows and null ids are kept. Extra columns are ignored by ``predict``.
+table gives no rows. Repeated rows and null ids are kept. Extra columns are ignored by ``predict`` and kept by ``only_identified``, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saldoflow.llm.words import SLICE_BYTES, buffers
@@ -170,7 +170,10 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", s
         return None
     limits = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, sample / n))])
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    found = rows.where(draw < limits[F.col("lang")]).mapInArrow(_frequencies, "lang string, features binary").toArrow()
+    # A text counts once however often it is copied, and no language has more than twice the sample.
+    drawn = rows.where(draw < limits[F.col("lang")]).groupBy("lang", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"))
+    drawn = drawn.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= 2 * sample)
+    found = drawn.select("lang", "text").mapInArrow(_frequencies, "lang string, features binary").toArrow()
     if not len(found):
         return None
     langs = np.array(found["lang"].to_pylist())
@@ -211,16 +214,16 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", s
 
 def _margins(texts: pa.Array, machines: Machines) -> tuple[np.ndarray, np.ndarray]:
     """The margin of every machine for every text, and the number of n-grams (0: no letter)."""
-    k = machines.weights.shape[1]
-    sums, counts = np.zeros((len(texts), k)), np.zeros(len(texts))
+    columns = np.ascontiguousarray(machines.weights.T)
+    sums, counts = np.zeros((len(texts), len(columns))), np.zeros(len(texts))
     for first, data, offsets, head in _slices(texts):
         n = len(offsets) - 1
         for bucket, owner in _grams(data, offsets, head):
             if not len(bucket):
                 continue
             counts[first : first + n] += np.bincount(owner, minlength=n)
-            starts = np.concatenate([[0], np.flatnonzero(np.diff(owner)) + 1])
-            sums[owner[starts] + first] += np.add.reduceat(machines.weights[bucket], starts, axis=0)
+            for machine, column in enumerate(columns):  # one machine at a time: a number for each n-gram is held
+                sums[first : first + n, machine] += np.bincount(owner, weights=column[bucket], minlength=n)
     return sums / np.maximum(counts, 1)[:, None] + machines.bias, counts
 
 
@@ -286,21 +289,18 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def only_identified(docs: DataFrame, machines: Machines | None, least_score: float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a language, predicted with at least ``least_score``; columns stay as they are."""
-    names = docs.columns
-    schema = docs.schema
+def only_identified(docs: DataFrame, machines: Machines | None, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language, predicted with at least ``least_score``; columns stay as they are.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if machines is None or not len(batch):
-                continue
-            margins, counts = _margins(batch.column(len(names)), machines)
-            _, scores = _choose(margins, machines)
-            letters = batch.column(len(names) + 1).to_numpy(zero_copy_only=False).astype(bool) & (counts > 0)
-            kept = batch.filter(pa.array(letters & (scores >= least_score)))
-            yield pa.record_batch(kept.columns[: len(names)], names=names)
+    Only texts with a letter go to Python, and only scores come back; the rows themselves stay where they are.
+    """
+    if machines is None:
+        return docs.where("false")
 
-    text = F.col(text_col).cast("string")
-    rows = docs.select(*[F.col(f"`{n}`") for n in names], text.alias("__text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__letter"))
-    return rows.mapInArrow(run, schema)
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        margins, counts = _margins(texts, machines)
+        return pa.array(np.where(counts > 0, _choose(margins, machines)[1], -1.0)) if len(texts) else pa.array([], pa.float64())
+
+    text = F.col(f"`{text_col}`").cast("string")
+    return docs.where(text.rlike(r"\p{L}")).where(score(text) >= least_score)

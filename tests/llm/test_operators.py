@@ -523,6 +523,27 @@ def test_languages_of_rows_not_trained_on(spark):
     assert {r.lang_pred for r in langid.predict(odd, langid.train(docs.where(F.lit(False)))).collect()} == {"und"}
 
 
+def test_copies_of_a_text_count_once_in_the_sample(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("lang", "text")
+    copies = spark.range(20_000).selectExpr("'en' AS lang", "'the same text over and over' AS text")
+    seen = []
+    monkeypatch.setattr(langid, "_prepared", lambda x: seen.append(len(x)) or x * np.float32(64.0))
+    langid.train(docs.unionByName(copies), sample=40)
+    assert 0 < seen[0] <= 4 * 2 * 40
+
+
+def test_kept_rows_have_their_columns_whatever_their_names(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    machines = langid.train(docs)
+    odd = docs.selectExpr("doc_id", "text", "'x' AS __text", "true AS __letter", "1 AS `a.b`", "'s' AS score")
+    kept = langid.only_identified(odd, machines, 0.01)
+    assert kept.schema == odd.schema
+    assert {r["__text"] for r in kept.collect()} == {"x"} and kept.count() > 150
+    assert langid.only_identified(odd.where("false"), machines, 0.01).count() == 0
+    plan = langid.only_identified(docs, machines, 0.01)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("ArrowEvalPython") == 1
+
+
 def test_long_texts_score_as_their_parts_together():
     machines = langid.Machines(["a", "b"], ["a"], {"a": ["b"]}, np.random.default_rng(0).normal(size=(langid.BUCKETS, 2)), np.zeros(2), np.ones(2), np.zeros(2))
     text = " ".join(words(random.Random(1), 3000))
