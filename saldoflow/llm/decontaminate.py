@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saldoflow.llm.scratch import BitFilter, Scratch
+from saldoflow.llm.scratch import BitFilter, Scratch, free_name
 from saldoflow.llm.words import mix, shingles, word_slices
 
 EDITS = 0.2
@@ -302,5 +302,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without a benchmark passage; columns stay as they are."""
-    found = matches(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__matched")).distinct()
-    return docs.join(found, F.col(id_col).cast("long") == F.col("__matched"), "left_anti")
+    matched = free_name(docs, "matched")
+    found = matches(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(matched)).distinct()
+    return docs.join(found, F.col(f"`{id_col}`").cast("long") == F.col(matched), "left_anti")

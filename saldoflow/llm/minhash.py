@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saldoflow.llm.components import components
-from saldoflow.llm.scratch import BitFilter, Scratch
+from saldoflow.llm.scratch import BitFilter, Scratch, free_name
 from saldoflow.llm.words import mix, shingle_slices
 
 SKETCH, LISTED, RUN = 64, 42, 3
@@ -360,5 +360,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = LEAST_SIMILARITY) -> DataFrame:
     """The rows of ``docs`` without those that repeat a document with a smaller id; columns stay as they are."""
-    judged = near_duplicates(docs, id_col, text_col, threshold).where("NOT kept").select(F.col("doc_id").alias("__repeated")).distinct()
-    return docs.join(judged, F.col(id_col).cast("long") == F.col("__repeated"), "left_anti")
+    repeated = free_name(docs, "repeated")
+    judged = near_duplicates(docs, id_col, text_col, threshold).where("NOT kept").select(F.col("doc_id").alias(repeated)).distinct()
+    return docs.join(judged, F.col(f"`{id_col}`").cast("long") == F.col(repeated), "left_anti")

@@ -343,17 +343,19 @@ def _marked(kind: str):
     return lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(f"[{kind.upper()}]").alias("mark"))
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with every span replaced by its kind in brackets; a null text stays null. Columns stay as they are."""
+def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """``docs`` with every span replaced by its kind in brackets; a null text stays null. ``length_col``, if named, gets the new
+    number of characters of changed texts. All other columns stay as they are, whatever their names: they travel in one struct."""
     names = docs.columns
     scratch = Scratch(docs.sparkSession, "pii")
-    found = candidates(docs, text_col)
+    own = F.struct(*[F.col(f"`{n}`") for n in names])
+    found = candidates(docs.select(own.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text")), "text")
     judge = Judge.fit(scratch.save(found.select("passed", "failed", "wide")))
     marked = F.concat(
         *[F.transform(_all_of(i, k, judge), _marked(k)) for i, k in enumerate(KINDS)]
     )
     found = found.withColumn("__spans", F.array_sort(marked))
-    text = F.col(text_col).cast("string")
+    text = F.col("text")
     # Spans in order of their starts; one that begins inside another adds nothing of its own but its end.
     step = lambda a, x: F.struct(
         F.greatest(a["at"], x["e"]).alias("at"),
@@ -364,4 +366,10 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     clean = F.when(F.col("__done").isNull(), text).otherwise(
         F.concat(F.array_join("__done.out", ""), F.substring(text, (F.col("__done.at") + 1).cast("int"), F.char_length(text)))
     )
-    return found.select(*[clean.alias(n) if n == text_col else F.col(f"`{n}`") for n in names])
+    found = found.select("row", text.alias("before"), clean.alias("after"))
+    kept = {n: F.col("row").getField(n) for n in names}
+    kept[text_col] = F.col("after")
+    if length_col is not None:
+        new = F.char_length("after").cast(docs.schema[length_col].dataType)
+        kept[length_col] = F.when(F.col("before").eqNullSafe(F.col("after")), kept[length_col]).otherwise(new)
+    return found.select(*[kept[n].alias(n) for n in names])

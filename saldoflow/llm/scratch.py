@@ -14,6 +14,14 @@ from saldoflow.session import shared_folder
 MAX_FILTER_BITS = 1 << 27
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Scratch:
     """Writes intermediate results as Parquet below the shared folder and reads them back."""
 

@@ -689,3 +689,26 @@ def test_totals_follow_signed_batches(spark, tmp_path):
     assert read() == {("s", "en", 1, 2), ("t", "en", 1, 5), (None, None, 1, 0)}
     with pytest.raises(ValueError):
         ledger.commit("../x", token_counts.changes(counts, 1, "v"))
+
+
+# --- columns with the names that operators use inside ---
+
+
+def test_filters_and_redaction_keep_columns_of_any_name(spark):
+    rows = [(1, "write to jo@ex.org now please friends"), (2, "nothing here to see at all today"), (3, None), (4, ""), (5, "nothing here to see at all today")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "7 AS n_chars", "text AS __t", "'s' AS __spans", "'w' AS wide", "'p' AS passed", "'b' AS base_email", "'m' AS matched",
+        "'r' AS repeated", "'__' AS __matched", "1 AS `a.b`", "text AS row", "'x' AS before", "'y' AS after",
+    )
+    plain = {r.doc_id: r for r in odd.collect()}
+    got = pii.redact(odd, length_col="n_chars")
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in odd.schema]
+    for r in got.collect():
+        old = plain[r.doc_id].asDict()
+        assert r.asDict() == old | ({"text": "write to [EMAIL] now please friends", "n_chars": 35} if r.doc_id == 1 else {})
+    assert sorted(r.doc_id for r in minhash.keep_one(odd).collect()) == [1, 2, 3, 4]
+    items = spark.createDataFrame([(1, "nothing here to see at all today")], "item_id long, text string")
+    left = decontaminate.clean(odd, items)
+    assert left.columns == odd.columns and sorted(r.doc_id for r in left.collect()) == [1, 3, 4]
+    for empty in (pii.redact(odd.where("false")), minhash.keep_one(odd.where("false")), decontaminate.clean(odd.where("false"), items)):
+        assert empty.columns == odd.columns and empty.count() == 0
