@@ -7,7 +7,6 @@ stages but the last keep the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from saldoflow.llm import decontaminate, langid, minhash, packing, pii
 from saldoflow.llm.scratch import Scratch
@@ -36,10 +35,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind and ``n_chars`` brought up to date."""
-    found = pii.redact(docs.withColumn("__before", F.col("text")))
-    changed = ~F.col("__before").eqNullSafe(F.col("text"))
-    chars = F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", chars).select(*docs.columns)
+    return pii.redact(docs, length_col="n_chars")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
