@@ -476,3 +476,11 @@ ORACLE["corpus_statement_lineage"] = _with(
     final="""SELECT query_id, a.posicion AS cte_posicion, nombre, replace(nombre_completo, '{k}', k) AS nombre_completo
              FROM pedidos JOIN alcanzadas a USING (f) JOIN partes p ON p.f = a.f AND p.posicion = a.posicion""",
 )
+
+ORACLE["table_properties"] = """
+SELECT 'origen' AS key, 'orders d''ayer' AS value
+UNION ALL SELECT 'meses', CAST(count(DISTINCT last_day(o_orderdate)) AS VARCHAR) FROM orders"""
+ORACLE["sql_files"] = _with(
+    shapes.CORPUS_SQL,
+    final="SELECT query_id // 500 AS lote, CAST(sum(length(sql_text) + 1) AS BIGINT) AS caracteres FROM textos GROUP BY 1",
+)

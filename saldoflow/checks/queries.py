@@ -361,3 +361,35 @@ def corpus_statement_edges(spark, sf_dir):
 @registered
 def corpus_statement_lineage(spark, sf_dir):
     return corpus.resolved_lineage(statements_for(spark, sf_dir))
+
+
+@registered
+def table_properties(spark, sf_dir):
+    """The properties that a snapshot table was created with, as the catalog gives them back."""
+    ledger = shapes.ledger(shapes.Tables(spark, sf_dir)).withColumn("fecha_corte", F.last_day("fecha"))
+    days = [row["fecha_corte"] for row in ledger.select("fecha_corte").distinct().collect()]  # one row a month
+    sums = ledger.groupBy("fecha_corte", "uc").agg(F.sum("saldo").cast("decimal(38,2)").alias("saldo"))
+    table = f"propiedades_{uuid.uuid4().hex[:12]}"
+    named = {"origen": "orders d'ayer", "meses": str(len(days))}
+    replace_snapshots(add_audit_columns(sums, F.expr(CLOCK)), table, days, location=f"{shared_folder(spark)}/{table}", properties=named)
+    return spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key").isin(*named)).select("key", "value")
+
+
+# Query texts in one file.
+TEXTS_IN_FILE = 500
+
+
+@registered
+def sql_files(spark, sf_dir):
+    """The query texts written to files, read back as whole files, saved, and scanned by a catalog-qualified name."""
+    run = uuid.uuid4().hex[:12]
+    folder, table = f"{shared_folder(spark)}/textos_{run}", f"textos_{run}"
+    texts = corpus_for(spark, sf_dir).withColumn("lote", F.expr(f"query_id DIV {TEXTS_IN_FILE}"))
+    in_files = texts.repartition("lote").sortWithinPartitions("lote", "query_id").select("lote", "sql_text")
+    in_files.write.partitionBy("lote").text(folder)
+    read = binding.read_query_texts(spark, folder, "*.txt")
+    lote = F.regexp_extract("query_id", r"/lote=(\d+)/", 1).cast("long")
+    sizes = read.groupBy(lote.alias("lote")).agg(F.sum(F.char_length("sql_text")).alias("caracteres"))
+    sizes.write.format("parquet").option("path", f"{folder}_tabla").saveAsTable(table)
+    sources = binding.SourceBinding(binding.parse_source_list(f"{spark.catalog.currentDatabase()}.{table}"), catalog="spark_catalog")
+    return sources.read(spark, table)

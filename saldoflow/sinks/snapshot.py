@@ -86,6 +86,14 @@ def _clear_days(spark: SparkSession, table: str, days: Sequence[dt.date], column
     spark.catalog.refreshTable(table)
 
 
+def _set_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
+    """Records properties of a file table in the catalog; the writer itself only takes them as options of its format."""
+    if properties:
+        quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        listed = ", ".join(f"{quoted(name)} = {quoted(value)}" for name, value in properties.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+
+
 def create_snapshot_table(
     df: DataFrame,
     table: str,
@@ -102,6 +110,7 @@ def create_snapshot_table(
         for name, value in (properties or {}).items():
             writer = writer.option(name, value)
         writer.saveAsTable(table, mode="errorifexists")
+        _set_properties(df.sparkSession, table, properties or {})
         return
     creator = df.writeTo(table).using(table_format).tableProperty("location", location)
     for name, value in (properties or {}).items():
