@@ -15,7 +15,6 @@ from tests.conftest import SF_DIR
 D = dt.date
 CUT = D(2025, 11, 7)
 DAYS = [D(2025, 10, 1) + dt.timedelta(days=k) for k in range(60)]
-PYTHON_QUERIES = {"corpus_ctes", "corpus_lineage", "corpus_params"}
 RUNS_WHEN_BUILT = {"snapshot_replace"}
 
 
@@ -27,7 +26,7 @@ def plan(df):
 def test_no_pairwise_joins_and_no_stray_python(spark, name):
     text = plan(driver.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert ("Python" in text) == (name in PYTHON_QUERIES)
+    assert "Python" not in text
 
 
 @pytest.fixture(scope="module")
