@@ -11,8 +11,9 @@
 5. Long lists with members of several components can hide links. Their members are clustered by the pairs of the stars with
    an estimated similarity of ``LOOSE`` at least; each cluster is cut into blocks of bounded size, and a task compares the full sets of two blocks and returns
    a spanning forest of the links, so that a group of near copies never becomes a list of pairs. Members of one list
-   in different clusters and components are compared by their sketches in the same way, and only pairs that
-   may reach the threshold leave the task to be verified. No list is capped.
+   in different clusters and components are compared by their sketches in the same way: a task returns a spanning forest
+   of the pairs that may reach the threshold. The components of these forests over all lists are clusters again, whose
+   full sets are compared block against block. No list is capped, and no task returns more edges than it has members.
 
 Rows are nodes, so repeated ids are allowed. A document without words (or with null text) has no shingles and links
 with nothing. A null id keeps its row; it never becomes the id of a component that has another. Extra columns are
@@ -182,8 +183,8 @@ def _links_in_blocks(threshold: int):
     return run
 
 
-def _pairs_in_blocks(threshold: int):
-    """The pairs in different clusters and components whose sketches have enough in common to be estimated."""
+def _candidates_in_blocks(threshold: int):
+    """The pairs in different clusters and components whose sketches may reach the threshold, as a spanning forest."""
     least = _least_shared(threshold)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -191,12 +192,12 @@ def _pairs_in_blocks(threshold: int):
         sets = [np.asarray(x, dtype=np.int64) for x in group["sketch"]]
         sizes = np.minimum([len(x) for x in sets], SKETCH)
         needed = np.minimum(least, np.minimum(sizes[:, None], sizes[None, :]) * (threshold / 100))
-        found = np.triu(_common(sets) >= needed, 1)
+        found = _common(sets) >= needed
         for name in ("root", "cluster"):
             code = pd.factorize(group[name])[0]
             found &= code[:, None] != code[None, :]
         sids = group["sid"].tolist()
-        return pd.DataFrame([(sids[i], sids[j]) for i, j in zip(*np.nonzero(found), strict=True)], columns=["a", "b"])
+        return pd.DataFrame([(sids[i], sids[j]) for i, j in _forest(found)], columns=["a", "b"])
 
     return run
 
@@ -235,15 +236,12 @@ class _Links:
         )
         self.near = self.sets
         self.full: DataFrame | None = None
-        self.tested: DataFrame | None = None
         self.loose: DataFrame | None = None
         self.roots: DataFrame | None = None
 
-    def verify(self, pairs: DataFrame, likely_later: DataFrame | None = None) -> bool:
-        """Adds the links among ``pairs (a, b)``; false if no pair was left to test."""
+    def verify(self, pairs: DataFrame, likely_later: DataFrame) -> None:
+        """Adds the links among ``pairs (a, b)`` and reads the full sets of ``likely_later (sid)`` along."""
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
         side = lambda c: self.near.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
         met = pairs.join(side("a"), "a").join(side("b"), "b")
         met = met.withColumn("union", F.slice(F.array_sort(F.array_union("sketch_a", "sketch_b")), 1, SKETCH))
@@ -251,19 +249,16 @@ class _Links:
         reach, loose = _estimate(self.threshold)
         met = met.select("a", "b", "n_a", "n_b", reach.alias("reach"), loose.alias("loose")).where("reach OR loose")
         met, seen = self.scratch.save_measured(met, n=F.count_if("reach"), loose=F.count("*"))
-        self.loose = met.select("a", "b") if self.loose is None else self.loose
+        self.loose = met.select("a", "b")
         likely = met.where("reach").drop("reach", "loose")
         if not seen["n"]:
-            return False
-        wanted = likely.selectExpr("explode(array(a, b)) AS sid")
-        self._read_full(wanted if likely_later is None else wanted.union(likely_later))
+            return
+        self._read_full(likely.selectExpr("explode(array(a, b)) AS sid").union(likely_later))
         full = lambda c: self.full.select(F.col("sid").alias(c), F.col("shingles").alias(f"set_{c}"))
         common = F.size(F.array_intersect("set_a", "set_b"))
         judged = likely.join(full("a"), "a").join(full("b"), "b").select("a", "b", (F.col("n_a") + F.col("n_b")).alias("both"), common.alias("common"))
         linked = self.scratch.save(judged.where(F.col("common") * 100 >= (F.col("both") - F.col("common")) * self.threshold).select("a", "b"))
-        self.tested = likely.select("a", "b") if self.tested is None else self.tested.union(likely.select("a", "b"))
         self.add(linked)
-        return True
 
     def add(self, linked: DataFrame) -> None:
         edges = linked if self.roots is None else linked.union(self.roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
@@ -305,11 +300,17 @@ class _Links:
         self.add(self.scratch.save(found))
 
     def compare_lists(self, rest: DataFrame) -> None:
-        """Adds the links between clusters inside each list of ``(key, sid, root, cluster)``."""
+        """Adds the links between clusters inside each list of ``(key, sid, root, cluster)``.
+
+        Two sets that may be linked are joined by the forest of their blocks, so comparing each component of the forests
+        in full finds every link without listing pairs.
+        """
         counts = rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
         member = _in_blocks(rest, "key", counts).join(self.near.select("sid", "sketch"), "sid")
-        found = member.groupBy("key", "i", "j").applyInPandas(_pairs_in_blocks(self.threshold), "a binary, b binary")
-        self.verify(found)
+        met = member.groupBy("key", "i", "j").applyInPandas(_candidates_in_blocks(self.threshold), "a binary, b binary")
+        met, seen = self.scratch.save_measured(met, n=F.count("*"))
+        if seen["n"]:
+            self.compare_clusters(components(met, self.scratch).select(F.col("node").alias("sid"), F.col("root").alias("cluster")))
 
 
 def _similar_sets(docs: DataFrame, scratch: Scratch, threshold: int) -> _Links:
