@@ -3,9 +3,10 @@
 A page becomes a tree of elements with, for each, its characters C, link characters LC, tags T and link tags LT. Its
 density is C / T, adjusted by a logarithm that falls with the share of link characters, against the share of the
 whole body. The density sum of an element adds up its children's densities. Elements that are no article text by their
-tag or by a word of their class, id or role are taken out first. The element with the largest sum is the main content; if it
-lies in an article, that is. The least density on its path to the body is the threshold: beside the path, elements that
-reach it stay, and so do headings and text blocks that are not mostly links.
+tag, or by a class, id or role of a container, are taken out first. The element with the largest sum is the main content; if it
+lies in an article, that is. The least density on its path up to the body is the threshold: beside the path, containers stay
+that reach it with their density and with their density sum, and so do headings and text blocks that are not mostly links. A
+container of bare text has no density sum, so beside the main content it goes.
 
 Text is whole: character references are decoded, white space inside a block becomes one space, blocks are joined in
 page order by one newline. Unclosed, misnested and cut-off markup is read as far as it goes. A null or empty page has an empty
@@ -51,6 +52,17 @@ DROPPED_WORDS = frozenset(
     " cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login"
     " share sharing social related recommended pagination pager widget copyright legal search skip".split()
 )
+# Words that a class or id may have beside those above and still name the same thing, as in "site-footer".
+NEUTRAL_WORDS = frozenset(
+    "site page main global primary secondary top bottom left right middle upper lower inner outer sticky fixed mobile desktop js"
+    " box bar list wrapper wrap container content section block item items area panel row col column group slot unit banner header body"
+    " post posts article articles entry link links user users form widget div id google gpt dfp text".split()
+)
+# Elements that hold the words of a text: their class says how they look, not that they lie outside the article.
+WORDED_TAGS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 pre blockquote li dt dd td th tr tbody thead tfoot caption figcaption a abbr b bdi bdo big br cite code data del dfn em"
+    " font hr i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split()
+)
 # A header is dropped unless it lies in the article, where it holds its title.
 HEADER_PARENTS = frozenset(["article", "main", "section"])
 ARTICLE_TAGS = frozenset(["article", "main"])
@@ -61,7 +73,7 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?:>|$(?![\s\S]))",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(?P<name>class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*(?:\"(?P<a>[^\"]*)\"|'(?P<b>[^']*)'|(?P<c>[^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)\s*+(?:=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>]++)))?")
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
@@ -85,17 +97,20 @@ def _is_dropped(tag: str, attrs: str, parent: Node) -> bool:
             return True
     if not attrs or tag in ("html", "body") or tag in ARTICLE_TAGS:
         return False
-    for m in _ATTRIBUTE.finditer(attrs):
-        name, value = m["name"].lower(), m["a"] or m["b"] or m["c"] or ""
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style" and "display:none" in value.replace(" ", "").lower():
-            return True
-        if name == "role" and value.lower().strip() in DROPPED_ROLES:
-            return True
-        if name in ("class", "id") and not DROPPED_WORDS.isdisjoint(_WORD.findall(_CAMEL.sub("-", value).lower())):
-            return True
-    return False
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(attrs):
+        found.setdefault(name.lower(), "".join(values).strip())
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
+        return True
+    if "display:none" in found.get("style", "").replace(" ", "").lower() or found.get("role", "").lower() in DROPPED_ROLES:
+        return True
+    return tag not in WORDED_TAGS and any(_names_dropped(x) for x in f"{found.get('class', '')} {found.get('id', '')}".split())
+
+
+def _names_dropped(name: str) -> bool:
+    """Whether a class or id names something outside the article with all its words, as "comment-list" but not "comment-on-law"."""
+    words = [w for w in _WORD.findall(_CAMEL.sub("-", name).lower()) if len(w) > 1]
+    return not DROPPED_WORDS.isdisjoint(words) and all(w in DROPPED_WORDS or w in NEUTRAL_WORDS for w in words)
 
 
 def parse(page: str) -> Node:
@@ -221,7 +236,7 @@ def _contents(root: Node) -> list[Node]:
     if best.total == 0:
         return [root]
     threshold, node = best.density, best
-    while node.parent is not None and node.parent.parent is not None:
+    while node.parent is not None and node.parent.tag not in ("#root", "html", "body"):
         node = node.parent
         threshold = min(threshold, node.density)
     whole = _whole(best)
@@ -235,7 +250,7 @@ def _contents(root: Node) -> list[Node]:
         node = node.parent
         path.add(id(node))
         for c in node.children:
-            if isinstance(c, Node) and not c.dropped and id(c) not in path and c.density < threshold and not (c.tag in TEXT_BLOCKS and 2 * c.link_chars < max(c.chars, 1)):
+            if isinstance(c, Node) and not c.dropped and id(c) not in path and min(c.density, c.total) < threshold and not (c.tag in TEXT_BLOCKS and 2 * c.link_chars < max(c.chars, 1)):
                 c.dropped = c.tag in BLOCKS
     return [root]
 
@@ -256,7 +271,7 @@ def _blocks(nodes: list[Node]) -> Iterator[str]:
     seen: set[int] = set()
 
     def flush() -> str:
-        text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
+        text = _SPACE.sub(" ", "".join(parts)).strip()
         parts.clear()
         return text
 
@@ -269,7 +284,7 @@ def _blocks(nodes: list[Node]) -> Iterator[str]:
             if x is None:
                 yield flush()
             elif isinstance(x, str):
-                parts.append(x)
+                parts.append(html.unescape(x))
             elif not x.dropped and id(x) not in seen:
                 seen.add(id(x))
                 block = x.tag in BLOCKS
