@@ -24,6 +24,8 @@ from saldoflow.llm import (
 )
 from saldoflow.llm.scratch import Scratch
 
+NEXT_VOCABULARY = "byte_bpe_50k.json"  # the version that op10 moves some documents to
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -73,18 +75,28 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after two loads, one of them repeated, and a batch that deletes and re-inserts a quarter of the documents."""
+    """Totals after two loads, deletions, revised texts and a move to another tokenizer version, some of them committed twice.
+
+    By crc32(doc_id as text) mod 16, documents with 3 are deleted, those with 5 have their text twice, joined by a
+    space, and those with 6 and 7 are counted by the next tokenizer version.
+    """
     scratch = Scratch(spark, "tokens")
-    counts = scratch.save(token_counts.counted(_table(spark, sf_dir, "documents")))
+    docs = _table(spark, sf_dir, "documents")
+    share = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(16))
+    counts = scratch.save(token_counts.counted(docs))
+    doubled = token_counts.counted(docs.where(share == 5).withColumn("text", F.concat_ws(" ", "text", "text")))
+    recounted = token_counts.counted(docs.where(share.isin(6, 7)), token_counts.vocabulary_path(NEXT_VOCABULARY))
+    version, following = (x.removesuffix(".json") for x in (token_counts.DEFAULT_VOCABULARY, NEXT_VOCABULARY))
+
     ledger = token_counts.Ledger(spark, f"{scratch.folder}/ledger")
-    half = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(2)) == 0
-    version = token_counts.DEFAULT_VOCABULARY.removesuffix(".json")
-    ledger.commit("load-0", token_counts.changes(counts.where(half), 1, version))
-    ledger.commit("load-1", token_counts.changes(counts.where(~half), 1, version))
-    ledger.commit("load-0", token_counts.changes(counts.where(half), 1, version))
-    moved = counts.where(half & (F.pmod("n_tokens", F.lit(2)) == 0))
-    ledger.commit("revise", token_counts.revisions(moved, moved, version))
+    ledger.commit("load-0", token_counts.changes(counts.where(share < 8), 1, version))
+    ledger.commit("load-1", token_counts.changes(counts.where(share >= 8), 1, version))
+    ledger.commit("load-0", token_counts.changes(counts.where(share < 8), 1, version))
+    ledger.commit("delete", token_counts.changes(counts.where(share == 3), -1, version))
     ledger.compact()
+    ledger.commit("delete", token_counts.changes(counts.where(share == 3), -1, version))
+    ledger.commit("revise", token_counts.revisions(counts.where(share == 5), doubled, version))
+    ledger.commit("move", token_counts.revisions(counts.where(share.isin(6, 7)), recounted, version, following))
     return ledger.totals()
 
 

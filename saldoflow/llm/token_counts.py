@@ -17,13 +17,14 @@ totals. Sums are partial before they are shuffled, so a source may hold any shar
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from saldoflow.llm.tokens import DEFAULT_VOCABULARY, WordTokenizer, vocabulary_path  # noqa: F401
+from saldoflow.llm.tokens import DEFAULT_VOCABULARY, counter, vocabulary_path  # noqa: F401
 
 KEYS = ("source", "lang", "tokenizer")
 CHANGES = "source string, lang string, tokenizer string, docs long, tokens long"
@@ -32,7 +33,7 @@ _BATCH_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
 def _counter(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer.of(vocabulary)
+        tokenizer = counter(vocabulary)
         for batch in batches:
             counts = pa.array(tokenizer.counts(batch.column(0)), pa.int64())
             yield pa.record_batch([*batch.columns[1:], counts], names=["doc_id", "source", "lang", "n_tokens"])
@@ -60,9 +61,9 @@ def changes(counts: DataFrame, sign: int | Column, tokenizer: str) -> DataFrame:
     return counts.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), sign.cast("long").alias("docs"), (sign * F.col("n_tokens")).cast("long").alias("tokens"))
 
 
-def revisions(before: DataFrame, after: DataFrame, tokenizer: str) -> DataFrame:
-    """Changes for documents whose text, source or language was replaced: the old counts go, the new ones come."""
-    return changes(before, -1, tokenizer).union(changes(after, 1, tokenizer))
+def revisions(before: DataFrame, after: DataFrame, tokenizer: str, new_tokenizer: str | None = None) -> DataFrame:
+    """Changes for documents whose text, source, language or tokenizer was replaced: the old counts go, the new ones come."""
+    return changes(before, -1, tokenizer).union(changes(after, 1, new_tokenizer or tokenizer))
 
 
 class Ledger:
@@ -133,7 +134,7 @@ class Ledger:
         """Folds the committed batches into a snapshot; their folders go once it is visible."""
         batches, number = self._open_batches(), max(self._snapshots(), default=0) + 1
         ids = sorted({*self._folded(), *batches})
-        hidden = f"{self.folder}/_pending-snapshot-{number}"
+        hidden = f"{self.folder}/_pending-snapshot-{number}-{uuid.uuid4().hex}"
         self._sum(batches).write.mode("overwrite").parquet(f"{hidden}/totals")
         self.spark.createDataFrame([(i,) for i in ids], "batch_id string").write.mode("overwrite").parquet(f"{hidden}/ids")
         if self._publish(hidden, f"snapshot-{number}"):

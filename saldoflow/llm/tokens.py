@@ -1,12 +1,13 @@
-"""Token ids of whole texts from a vocabulary file whose tokens never span white space.
+"""Token ids of whole texts from a vocabulary file.
 
-Such a tokenizer gives a text the ids of its words (runs between ASCII white space) one after the other. So only
+A tokenizer whose tokens never span white space gives a text the ids of its words (runs between ASCII white space) one after the other. So only
 the different words of a slice of texts are encoded, and a memory of words already seen serves the rest. The memory is
-emptied when it reaches ``REMEMBERED`` words; that changes the time, not the ids.
+emptied when it reaches ``REMEMBERED`` words; that changes the time, not the ids. Other tokenizers read each text as a whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from itertools import repeat
@@ -18,9 +19,10 @@ from saldoflow.llm.words import buffers, word_slices
 
 REMEMBERED = 1 << 20
 JOINED = 512
+TEXTS = 64
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 
-_open: dict[str, WordTokenizer] = {}
+_open: dict[str, WordTokenizer | TextTokenizer] = {}
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -124,3 +126,31 @@ class WordTokenizer:
             ids = self._flat[at]
             for i in range(last - first):
                 yield ids[sums[bounds[i]] : sums[bounds[i + 1]]]
+
+
+class TextTokenizer:
+    """A tokenizer whose tokens may hold white space; every text is encoded as a whole, a few texts at a time."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of every text; a null has none."""
+        out = []
+        for at in range(0, len(texts), TEXTS):
+            part = [x or "" for x in texts.slice(at, TEXTS).to_pylist()]
+            out += [len(x.ids) for x in self._tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        return np.array(out, dtype=np.int64)
+
+
+def counter(path: str) -> WordTokenizer | TextTokenizer:
+    """The tokenizer for counts, one for each Python worker: by words if the file marks the ends of words."""
+    if path not in _open:
+        with open(path, encoding="utf-8") as file:
+            by_word = bool(json.load(file)["model"].get("end_of_word_suffix"))
+        _open[path] = WordTokenizer(path) if by_word else TextTokenizer(path)
+    return _open[path]

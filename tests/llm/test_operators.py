@@ -416,6 +416,10 @@ ARTICLE = "Long sentence of the article with many words in it, and more of them.
         ("<article><p>a < b and c <d", "a < b and c"),
         ("<!-- <p>no</p> --><p>yes</p><!-- open", "yes"),
         ("<div>" * 3000 + "deep" + "</div>" * 10, "deep"),
+        ('<p>see <a href="/hidden/page">this page</a> of it', "see this page of it"),
+        ('<p title="the hidden truth">a</p><p data-id="ad" class="notice">b</p><div data-x=\'class="ad"\'>c</div>', "a\nb\nc"),
+        ("<div id=legal-history>a</div><p class='comment-on-law'>b</p><div class='main site-footer'>c</div><div hidden>d</div>", "a\nb"),
+        ("<p>a &am<b>p;</b> b", "a &amp; b"),
     ],
 )
 def test_main_text(page, want):
@@ -434,6 +438,67 @@ def test_pages_of_the_tables_lose_nothing(spark):
         assert r.n_chars == len(r.text)
 
 
+def test_pages_without_telling_tags_and_classes_keep_their_text():
+    import pyarrow.parquet as pq
+
+    found = [x for x in pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist() if x]
+    bare = [re.sub(r'\sclass="[^"]*"', "", re.sub(r"<(/?)(?:article|main|nav|aside|footer|header|form)\b", r"<\1div", x)) for x in found]
+    same = sum(html_text.main_text(a) == html_text.main_text(b) for a, b in zip(found, bare, strict=True))
+    assert same >= 0.95 * len(found)
+
+
+def test_densities_are_those_of_a_recursive_form():
+    import math
+
+    rng = random.Random(9)
+
+    def tree(depth):
+        children = [tree(depth - 1) if depth and rng.random() < 0.7 else rng.choice(["", "x" * rng.randint(1, 300)]) for _ in range(rng.randint(0, 4))]
+        return rng.choice(["div", "span", "section", "a"] if depth < 3 else ["div", "section"]), children
+
+    def written(node):
+        return node if isinstance(node, str) else f"<{node[0]}>{''.join(map(written, node[1]))}</{node[0]}>"
+
+    def counts(node, link=False):
+        """Characters, link characters, tags below, link tags below."""
+        if isinstance(node, str):
+            return len(node), len(node) * link, 0, 0
+        link = link or node[0] == "a"
+        below = [(counts(c, link), c) for c in node[1]]
+        chars, link_chars = (sum(x[k] for x, _ in below) for k in (0, 1))
+        tags = sum(x[2] + (not isinstance(c, str)) for x, c in below)
+        link_tags = tags if node[0] == "a" else sum(x[3] + (not isinstance(c, str) and c[0] == "a") for x, c in below)
+        return chars, link_chars, tags, link_tags
+
+    def density(node, body):
+        if isinstance(node, str):
+            return 0
+        chars, link_chars, tags, link_tags = counts(node)
+        if not chars:
+            return 0
+        links, whole = max(link_chars, 1), counts(body)
+        base = math.log(chars / max(chars - link_chars, 1) * link_chars + whole[1] / max(whole[0], 1) * chars + math.e)
+        return chars / max(tags, 1) * math.log(max(chars / links * max(tags, 1) / max(link_tags, 1), 1)) / base
+
+    for _ in range(60):
+        body = ("div", [tree(4), tree(4), "end"])
+        root = html_text.parse(written(body))
+        nodes = html_text._ordered(root)
+        html_text._measure(nodes)
+
+        def check(node, own, link=False):
+            assert node.tag == own[0]
+            got = [c for c in node.children if not isinstance(c, str)]
+            parts = [c for c in own[1] if not isinstance(c, str)]
+            if not link and own[0] != "a":
+                assert node.density == pytest.approx(density(own, body), rel=1e-9, abs=1e-9)
+                assert node.total == pytest.approx(sum(density(c, body) for c in parts), rel=1e-9, abs=1e-9)
+            for g, p in zip(got, parts, strict=True):
+                check(g, p, link or own[0] == "a")
+
+        check(root.children[0], body)
+
+
 def test_every_page_gives_a_row(spark):
     got = html_text.extract(pages(spark, [(1, None, None), (None, "u", "<p>x"), (1, None, None)])).collect()
     assert sorted((r.text, r.n_chars) for r in got) == [("", 0), ("", 0), ("x", 1)]
