@@ -14,6 +14,7 @@
    in different clusters and components are compared by their sketches in the same way: a task returns a spanning forest
    of the pairs that may reach the threshold. The components of these forests over all lists are clusters again, whose
    full sets are compared block against block. No list is capped, and no task returns more edges than it has members.
+   Forests are stars around least members: only their components count, and lists with the same members give the same edges.
 
 Rows are nodes, so repeated ids are allowed. A document without words (or with null text) has no shingles and links
 with nothing. A null id keeps its row; it never becomes the id of a component that has another. Extra columns are
@@ -133,18 +134,16 @@ def _listing(repeated: BitFilter | None):
 
 
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of a graph given as a symmetric matrix."""
+    """The components of a graph given as a symmetric matrix, each as a star around its first member."""
     new, edges = np.ones(len(linked), dtype=bool), []
     for start in range(len(linked)):
         if not new[start]:
             continue
         new[start], front = False, np.array([start])
         while len(front):
-            rows = linked[front]
-            reached = np.flatnonzero(rows.any(axis=0) & new)
-            parents = front[rows[:, reached].argmax(axis=0)] if len(reached) else reached
-            edges += zip(parents.tolist(), reached.tolist(), strict=True)
-            new[reached], front = False, reached
+            front = np.flatnonzero(linked[front].any(axis=0) & new)
+            edges += [(start, i) for i in front.tolist()]
+            new[front] = False
     return edges
 
 
@@ -171,7 +170,7 @@ def _links_in_blocks(threshold: int):
     """The links among full sets, as a spanning forest."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("sid")
+        group = group.drop_duplicates("sid").sort_values("sid")  # stars of many blocks then share their centres
         sets = [np.asarray(x, dtype=np.int64) for x in group["shingles"]]
         sizes = np.array([len(x) for x in sets])
         common = _common(sets)
@@ -188,7 +187,7 @@ def _candidates_in_blocks(threshold: int):
     least = _least_shared(threshold)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("sid")
+        group = group.drop_duplicates("sid").sort_values("sid")
         sets = [np.asarray(x, dtype=np.int64) for x in group["sketch"]]
         sizes = np.minimum([len(x) for x in sets], SKETCH)
         needed = np.minimum(least, np.minimum(sizes[:, None], sizes[None, :]) * (threshold / 100))
