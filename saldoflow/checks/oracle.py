@@ -223,6 +223,13 @@ ORACLE["segment_totals"] = _with(
     *REPORT, final="SELECT * REPLACE (CAST(valor AS DECIMAL(38,2)) AS valor) FROM por_segmento"
 )
 ORACLE["unit_totals"] = _with(*REPORT, final="SELECT * REPLACE (CAST(valor AS DECIMAL(38,2)) AS valor) FROM formato")
+ORACLE["balance_levels"] = _with(
+    *REPORT,
+    final="""SELECT nivel, fecha_corte, libro, uc, sub, columna, CAST(valor AS DECIMAL(38,2)) AS valor FROM (
+               SELECT 'libro' AS nivel, fecha_corte, libro, uc, sub, columna, valor FROM segmentos
+               UNION ALL SELECT 'segmento', fecha_corte, NULL, uc, sub, columna, valor FROM por_segmento
+               UNION ALL SELECT 'unidad', fecha_corte, NULL, uc, NULL, columna, valor FROM formato) x""",
+)
 ORACLE["reconciliation"] = _with(*REPORT, final="SELECT * FROM conciliado")
 ORACLE["proration"] = _with(
     *REPORT,
@@ -309,6 +316,17 @@ ORACLE["snapshot_replace"] = _with(
                     GROUP BY last_day(fecha), uc) x""",
 )
 
+THIRD_DAYS = _with(
+    shapes.LEDGER_SQL,
+    final=f"""SELECT fecha_corte, uc, CAST(sum(saldo) AS DECIMAL(38,2)) AS saldo,
+                     CASE WHEN year(fecha_corte) = 1997 AND day(fecha_corte) % 3 = 0 THEN 2 ELSE 1 END AS version, {AUDIT}
+              FROM (SELECT CAST(fecha AS DATE) AS fecha_corte, uc, saldo FROM ledger) x
+              WHERE year(fecha_corte) <> 1997 OR day(fecha_corte) % 3 <> 0 OR month(fecha_corte) % 2 = 0
+              GROUP BY fecha_corte, uc""",
+)
+for _layout in ("snapshot_unpartitioned", "snapshot_by_month", "snapshot_one_commit"):
+    ORACLE[_layout] = THIRD_DAYS
+
 # --- query corpus -------------------------------------------------------------------------------------------
 # Cleaning and dates use the engine's own regular expressions; sources, CTE bodies and lineage are spelled out
 # from the way the texts were put together, so they do not depend on any text extraction.

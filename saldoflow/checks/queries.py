@@ -124,6 +124,11 @@ def unit_totals(spark, sf_dir):
     return report_for(spark, sf_dir).units().withColumn("valor", money("valor"))
 
 
+@registered
+def balance_levels(spark, sf_dir):
+    return report_for(spark, sf_dir).levels().withColumn("valor", money("valor"))
+
+
 @registered
 def reconciliation(spark, sf_dir):
     return report_for(spark, sf_dir).reconciled().withColumns(
@@ -248,6 +253,40 @@ def snapshot_replace(spark, sf_dir):
     return spark.table(table)
 
 
+def third_days_replaced(spark: SparkSession, sf_dir: str, parts: tuple[str, ...], commit: str) -> DataFrame:
+    """Daily sums in a table of some layout; every third day of 1997 is replaced, and in odd months emptied by that."""
+    ledger = shapes.ledger(shapes.Tables(spark, sf_dir)).withColumn("fecha_corte", F.col("fecha").cast("date"))
+
+    def snapshot(rows: DataFrame, version: int) -> DataFrame:
+        sums = rows.groupBy("fecha_corte", "uc").agg(F.sum("saldo").cast("decimal(38,2)").alias("saldo"))
+        return add_audit_columns(sums.withColumn("version", F.lit(version)), F.expr(CLOCK))
+
+    days = [dt.date(1997, 1, 1) + dt.timedelta(days=k) for k in range(365)]
+    replaced = [day for day in days if day.day % 3 == 0]
+    again = ledger.filter("year(fecha_corte) = 1997 AND day(fecha_corte) % 3 = 0 AND month(fecha_corte) % 2 = 0")
+    table = f"saldos_{uuid.uuid4().hex[:12]}"
+    writer = snapshot(ledger, 1).write.format("parquet").option("path", f"{shared_folder(spark)}/{table}")
+    (writer.partitionBy(*parts) if parts else writer).saveAsTable(table)
+    replace_snapshots(snapshot(again, 2), table, replaced, commit=commit)
+    return spark.table(table)
+
+
+@registered
+def snapshot_unpartitioned(spark, sf_dir):
+    return third_days_replaced(spark, sf_dir, (), "catalog")
+
+
+@registered
+def snapshot_by_month(spark, sf_dir):
+    return third_days_replaced(spark, sf_dir, ("anio_particion", "mes_particion"), "paths")
+
+
+@registered
+def snapshot_one_commit(spark, sf_dir):
+    """Months again; all partitions of the run are moved by one call to the catalog."""
+    return third_days_replaced(spark, sf_dir, ("anio_particion", "mes_particion"), "catalog")
+
+
 @registered
 def report_job(spark, sf_dir):
     """The batch job for every ledger date of January 1997, and once more for some of them.

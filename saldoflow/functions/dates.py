@@ -34,22 +34,27 @@ def _column_type(df: DataFrame, name: str) -> T.DataType:
 
 
 def clip_to_dates(df: DataFrame, name: str, days: DataFrame, day: str) -> DataFrame:
-    """Keep only rows of ``df`` whose ``name`` lies between the first and last date of ``days``.
+    """Keep only rows of ``df`` whose ``name`` is one of the dates of ``days``.
 
-    A pre-filter for a later join on the date. The bounds are scalar subqueries on the bare column, so
-    they prune partitions and row groups at run time, which ``cast(column AS date)`` would prevent. Text
-    columns have no order that is known to agree with the date, so they are left to the join.
+    A pre-filter for a later join on the date. One flag for each date between the first and the last one is
+    looked up by position, which costs the same for any number of dates; as a run-time filter on the bare column it prunes
+    partitions to the wanted days, however far apart they lie and also if the column is text. The bounds are given as
+    well, because row groups can be skipped by them; text has no order that is known to agree with the date.
     """
     kind = _column_type(df, name)
     first = days.agg(F.min(day)).scalar()
     last = days.agg(F.max(day)).scalar()
+    wanted = days.agg(
+        F.expr(f"transform(sequence(min(`{day}`), max(`{day}`)), d -> array_contains(collect_set(`{day}`), d))")
+    ).scalar()
     column = F.col(name)
+    exact = df.filter(F.coalesce(F.get(wanted, F.datediff(column.cast("date"), first)), F.lit(False)))
     if isinstance(kind, T.DateType):
-        return df.filter((column >= first) & (column <= last))
+        return exact.filter((column >= first) & (column <= last))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         to = kind.simpleString()
-        return df.filter((column >= first.cast(to)) & (column < F.date_add(last, 1).cast(to)))
-    return df
+        return exact.filter((column >= first.cast(to)) & (column < F.date_add(last, 1).cast(to)))
+    return exact
 
 
 def cut_table(spark: SparkSession, *cuts: dt.date | str) -> DataFrame:

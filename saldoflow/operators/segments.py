@@ -106,6 +106,34 @@ def segments_with_unit_total(
     return wide.selectExpr("*", f"{total} AS valor").withColumn("uc", F.lit(unit))
 
 
+# Levels of ``balance_levels``.
+BOOK, SEGMENT, UNIT_LEVEL = "libro", "segmento", "unidad"
+
+
+def balance_levels(
+    books: Mapping[str, DataFrame], buckets: DataFrame, unit: str = UNIT, segments=SEGMENTS
+) -> DataFrame:
+    """Balances of every level in one aggregation: ``nivel, fecha_corte, libro, uc, sub, columna, valor``.
+
+    Per book and segment, per segment over all books (``libro`` NULL), and per unit (``sub`` NULL as well). The
+    per-date sums are grouped once by two grouping sets; the unit total is added up inside the wide row.
+    """
+    codes = [code for code, _, _ in segments]
+    days = balance_days(buckets).select("fecha_corte", "fecha", "columna")
+    dated = balances_by_date(books, days, segments).join(days, "fecha")
+    levels = dated.groupingSets(
+        [["fecha_corte", "libro", "columna"], ["fecha_corte", "columna"]], "fecha_corte", "libro", "columna"
+    ).agg(F.grouping("libro").alias("todos"), *[F.sum(f"`{c}`").alias(c) for c in codes])
+    entries = ", ".join(f"named_struct('sub', '{c}', 'valor', `{c}`)" for c in codes)
+    total = f"named_struct('sub', CAST(NULL AS STRING), 'valor', {' + '.join(f'`{c}`' for c in codes)})"
+    rows = levels.selectExpr(
+        "fecha_corte", "libro", "columna", "todos",
+        f"explode(slice(array({entries}, {total}), 1, {len(codes)} + todos)) AS saldo",
+    )
+    level = f"CASE WHEN todos = 0 THEN '{BOOK}' WHEN saldo.sub IS NULL THEN '{UNIT_LEVEL}' ELSE '{SEGMENT}' END AS nivel"
+    return rows.selectExpr(level, "fecha_corte", "libro", f"'{unit}' AS uc", "saldo.sub", "columna", "saldo.valor")
+
+
 def segment_totals(balances: DataFrame) -> DataFrame:
     """Segment balances summed across books."""
     return balances.groupBy("fecha_corte", "uc", "sub", "columna").agg(F.sum("valor").alias("valor"))

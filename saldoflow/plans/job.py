@@ -38,6 +38,7 @@ class ReportJob:
     table_format: str = "parquet"
     properties: Mapping[str, str] = field(default_factory=dict)
     on_zero: str = "error"
+    commit: str = "paths"
 
     def resolve(self, spark: SparkSession, requests: Sequence[str | None], now: Column) -> list[dt.date]:
         """Cut dates of the requests, each once, in order."""
@@ -71,6 +72,7 @@ class ReportJob:
                 location=self.location,
                 table_format=self.table_format,
                 properties=self.properties,
+                commit=self.commit,
             )
         finally:
             report.release()

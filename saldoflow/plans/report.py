@@ -22,11 +22,10 @@ from saldoflow.operators.reconcile import (
 from saldoflow.operators.segments import (
     SEGMENT_CODES,
     balance_days,
+    balance_levels,
     segment_long,
-    segment_totals,
     segments_with_unit_total,
     to_long,
-    unit_totals,
 )
 
 
@@ -68,11 +67,19 @@ class CalendarReport:
     def balances(self) -> DataFrame:
         return segment_long(self.books, self.buckets, self.unit)
 
+    def _totals_wide(self) -> DataFrame:
+        """One row per cut and bucket: every segment over all books, and their sum."""
+        return segments_with_unit_total(self.books, balance_days(self.buckets), self.unit)
+
     def segments(self) -> DataFrame:
-        return segment_totals(self.balances())
+        return to_long(self._totals_wide().drop("valor"), UNIT_KEYS).select(*UNIT_KEYS[:2], "sub", "columna", "valor")
 
     def units(self) -> DataFrame:
-        return unit_totals(self.balances())
+        return self._totals_wide().select(*UNIT_KEYS, "valor")
+
+    def levels(self) -> DataFrame:
+        """Books, segments and units of one aggregation."""
+        return balance_levels(self.books, self.buckets, self.unit)
 
     def _reconciled_wide(self) -> DataFrame:
         """Reconciled units with their segment columns.
