@@ -715,6 +715,34 @@ def test_unlinked_windows_meet_in_all_blocks(spark, monkeypatch):
     test_a_first_document_with_a_part_of_a_passage_hides_no_copies(spark)
 
 
+def test_windows_linked_over_others_hang_together():
+    rng = np.random.default_rng(5)
+    new = lambda n: rng.integers(-(1 << 31), 1 << 31, n).astype(np.int32)
+    a = new(91)
+    b = np.concatenate([a[:50], new(41)])  # 50 shingles of a
+    c = np.concatenate([new(23), b[23:]])  # 68 of b, 27 of a
+    place, low = np.full(3, 45, dtype=np.int32), np.zeros(3, dtype=np.int32)
+    for order in ([a, b, c], [b, a, c], [c, a, b]):
+        for open_ in ([True] * 3, [False, True, True]):
+            links = passages._forest(np.array([1, 2, 3]), place, low, low + 90, low, np.array(open_), order)
+            middle = next(i for i, x in enumerate(order, 1) if x is b)
+            assert {x[:2] for x in links} == {(max(middle, k), min(middle, k)) for k in (1, 2, 3) if k != middle}
+
+
+def test_a_link_to_the_first_document_hides_no_other_link(spark):
+    rng = random.Random(17)
+    rows, planted = [], set()
+    for k in range(150):
+        frame, passage = words(rng, 20), words(rng, 50)
+        # The first two share 60 words, the last two 50, the first and the last 40.
+        for part in (frame + passage[:40], frame + passage, passage):
+            rows.append((len(rows), " ".join(words(rng, 60) + part + words(rng, 60))))
+        planted |= {(3 * k + 1, 3 * k), (3 * k + 2, 3 * k + 1)}
+    found = passages.repeated_passages(documents(spark, rows)).cache()
+    assert {(r.doc_id, r.other_doc_id) for r in found.collect()} == planted
+    assert {(r.doc_id, r.class_id) for r in passages.classes(found).collect()} == {(i, i - i % 3) for i in range(450)}
+
+
 def test_an_interval_inside_a_longer_one_is_left_out_only_if_a_passage_covers_it(spark):
     spans = spark.createDataFrame([(9, 2, 0, 0, 60), (9, 3, 0, 40, 60), (9, 4, 0, 40, 60)], passages._MET)
     found = spark.createDataFrame([(9, 1, 30, 84, 30, 84, 1.0), (3, 1, 0, 54, 30, 84, 1.0), (2, 1, 0, 54, 30, 84, 1.0)], passages._PASSAGE)
