@@ -39,7 +39,7 @@ _WORDS = (
 )
 _WORD_HERE = rf"(?:(?:{_LISTS}|USING|{_TARGETS}|SELECT|WITH|{_ENDS}|{_SKIPPED})(?!{_LETTER})|(?:{_CALLS}) ?\()"
 _GAP = rf"(?:[^()'\"`,;\p{{L}}\p{{N}}_$.@#]++|(?!{_WORD_HERE}){_LETTER}++|{STRING_LITERAL}|{QUOTED_NAME}|{BACKQUOTED})*+"
-_PIECE = rf"(?i){_GAP}({_WITH_HEAD}|{_NEXT_HEAD}|{_WORDS}|, ?(?:{_SOURCE})?|\( ?(?:{_SOURCE})?|[);'\"`]|\z)"
+_PIECE = rf"(?i)({_GAP})({_WITH_HEAD}|{_NEXT_HEAD}|{_WORDS}|, ?(?:{_SOURCE})?|\( ?(?:{_SOURCE})?|[);'\"`]|\z)"
 _HEAD_NAME = rf"(?i)^(?:WITH (?:RECURSIVE )?|, ?)({_NAME})"
 _TABLE = rf"(?i)^(?:(?:{_LISTS}|USING|{_TARGETS})(?: {_EXISTS})?|[,(]) ?{_BEFORE}({_CHAIN})"
 
@@ -48,27 +48,32 @@ _TABLE = rf"(?i)^(?:(?:{_LISTS}|USING|{_TARGETS})(?: {_EXISTS})?|[,(]) ?{_BEFORE
 _CODES = {name: code for code, name in enumerate(("C", "W", "L", "U", "T", "S", "N", "X", "P", "(", ")", ",", "!", "-", "NONE", "TABLE", "BEHIND"))}
 
 
+# The kinds of words; of all others that end a piece, those below stand alone, and the rest is N.
+_KINDS = {word: kind for kind, words in (("L", _LISTS), ("S", "SELECT"), ("U", "USING"), ("T", _TARGETS), ("X", _CALLS), ("-", "DISTINCT|LATERAL|KEY"), ("N", _ENDS)) for word in words.split("|")}
+
+
 def _kind(sign: Column) -> Column:
     """What a piece ends in, as a code: C and W heads of CTEs, L U T lists and targets, S N X words, or the sign itself."""
     first, word = F.left(sign, F.lit(1)), F.upper(F.substring_index(F.substring_index(sign, " ", 1), "(", 1))
     head = sign.endswith("(")
     code = lambda name: F.lit(_CODES[name])
+    known = F.create_map(*[x for word, kind in _KINDS.items() for x in (F.lit(word), code(kind))])
     return (
         F.when(first == ",", F.when(head, code("C")).otherwise(code(",")))
         .when(first == "(", code("("))
         .when(first == ")", code(")"))
-        .when(word.isin(*_LISTS.split("|")), code("L"))
-        .when(word == "SELECT", code("S"))
-        .when(first == ";", code("N"))
-        .when(first == "", code("-"))
-        .when(first.isin("'", '"', "`"), code("!"))
-        .when(word == "WITH", F.when(head, code("W")).otherwise(code("-")))
-        .when(word.startswith("FROM") | word.startswith("JOIN"), code("L"))  # a quoted name may follow without a blank
-        .when(word.startswith("USING"), code("U"))
-        .when(word.isin(*_TARGETS.split("|")), code("T"))
-        .when(word.isin(*_CALLS.split("|")), code("X"))
-        .when(word.isin("DISTINCT", "LATERAL", "KEY"), code("-"))
-        .otherwise(code("N"))
+        .otherwise(
+            F.coalesce(
+                F.try_element_at(known, word),
+                F.when(first == "", code("-"))
+                .when(first == ";", code("N"))
+                .when(first.isin("'", '"', "`"), code("!"))
+                .when(word == "WITH", F.when(head, code("W")).otherwise(code("-")))
+                .when(word.startswith("FROM") | word.startswith("JOIN"), code("L"))  # a quoted name may follow without a blank
+                .when(word.startswith("USING"), code("U"))
+                .otherwise(code("N")),
+            )
+        )
     )
 
 
@@ -81,19 +86,19 @@ def _bare(name: Column) -> Column:
 
 def pieces(clean: Column) -> Column:
     """The pieces of a text: sign ``s`` and its kind ``k``, length ``n``, length before the sign ``g``, whether only blanks stand
-    there (``b``), and whether the sign goes on with a table (``t``)."""
-    whole, signs = (F.regexp_extract_all(clean, F.lit(_PIECE), F.lit(group)) for group in (0, 1))
+    there (``b``), and whether the sign goes on with a table (``t``). A clean text holds no tabs and line feeds, so they can mark the cuts."""
+    marked = F.split(F.regexp_replace(clean, F.lit(_PIECE), F.lit("$1\t$2\n")), "\n", -1)
 
-    def cut(text: Column, sign: Column) -> Column:
-        size, of_sign = F.char_length(text), F.char_length(sign)
-        blank = (size - of_sign <= 1) & ((size == of_sign) | text.startswith(" "))
-        return F.struct(sign.alias("s"), size.alias("n"), (size - of_sign).alias("g"), blank.alias("b"), _kind(sign).alias("k"))
+    def cut(piece: Column) -> Column:
+        sign = F.substring_index(piece, "\t", -1)
+        return F.struct(piece.alias("p"), sign.alias("s"), F.greatest(F.char_length(piece) - 1, F.lit(0)).alias("n"), _kind(sign).alias("k"))
 
     def with_table(p: Column) -> Column:
         bare = F.when(p["k"].isin(_CODES[","], _CODES["("]), 1).when(p["k"] == _CODES["L"], 4).when(p["k"] == _CODES["U"], 5).when(p["k"] == _CODES["T"], F.char_length(F.substring_index(p["s"], " ", 1)))
-        return F.struct(p["s"], p["n"], p["g"], p["b"], p["k"], (F.char_length(F.rtrim(p["s"])) > bare).alias("t"))
+        blank = p["p"].startswith("\t") | p["p"].startswith(" \t")
+        return F.struct(p["s"], p["n"], (p["n"] - F.char_length(p["s"])).alias("g"), blank.alias("b"), p["k"], (F.char_length(F.rtrim(p["s"])) > bare).alias("t"))
 
-    return F.transform(F.zip_with(whole, signs, cut), with_table)
+    return F.transform(F.transform(marked, cut), with_table)
 
 
 def name_parts(chain: Column) -> Column:
@@ -113,51 +118,71 @@ def _empty(kind: str) -> str:
 def _fold(pieces_column: str) -> str:
     """One pass over the pieces, with the open brackets as a stack.
 
-    The state holds the level inside the innermost bracket (``a``), the levels around it (``pila``), and whether a CTE has just closed (``tras``).
-    A level's mode ``m`` is TABLE where a table is expected, BEHIND behind one, NONE elsewhere. Names stay inside their signs until the end.
+    The state holds the level inside the innermost bracket (``a``), the levels around it (``pila``), whether a CTE has just closed (``tras``), and
+    what was found (``f``). A level's mode ``m`` is TABLE where a table is expected, BEHIND behind one, NONE elsewhere. Names stay
+    inside their signs until the end. Spark evaluates a step as it stands, so each kind of piece computes only what it changes.
     """
-    level = lambda k, m, head, start, owner, rec: f"named_struct('k', {k}, 'm', {m}, 'cabeza', {head}, 'ini', {start}, 'dueno', {owner}, 'r', {rec})"
     at = "(s.pos + p.n)"
-    head = "(p.k = 'W' OR (p.k = 'C' AND s.tras AND p.b))"
-    opens = "p.k IN ('W', 'C', '(', 'X')"
-    closes = "(p.k = ')' AND size(s.pila) > 0)"
-    # A bracket that stands directly where a table is expected opens a subquery or a bracketed join.
-    inside = "(p.k = '(' AND s.a.m = 'TABLE' AND p.b)"
-    taken = f"(p.t AND ((p.k = 'L' AND s.a.k <> 'X') OR p.k IN ('U', 'T') OR (p.k = ',' AND s.a.m = 'BEHIND') OR {inside}))"
-    mode = """CASE WHEN (p.k = 'L' AND s.a.k <> 'X') OR (p.k = ',' AND s.a.m = 'BEHIND') THEN IF(p.t, 'BEHIND', 'TABLE') WHEN p.k = 'U' THEN 'BEHIND'
-                   WHEN p.k IN ('T', 'S', 'N') THEN 'NONE' ELSE s.a.m END"""
-    kept = level("IF(p.k = 'S' AND s.a.k = 'X', 'P', s.a.k)", mode, "s.a.cabeza", "s.a.ini", "s.a.dueno", "s.a.r")
-    # What was expected in front of a bracket is now behind it.
-    outer = level("s.a.k", "IF(p.k IN ('(', 'X') AND s.a.m = 'TABLE', 'BEHIND', s.a.m)", "s.a.cabeza", "s.a.ini", "s.a.dueno", "s.a.r")
-    # A list of CTEs is recursive as a whole; the flag of its first head goes on to the next ones.
-    new = f"""IF({head}, {level("'C'", "'NONE'", "p.s", at, at, "IF(p.k = 'W', upper(left(p.s, 15)) = 'WITH RECURSIVE ', s.r)")},
-                  {level("IF(p.k = 'X', 'X', 'P')", f"IF({inside}, IF(p.t, 'BEHIND', 'TABLE'), 'NONE')", "CAST(NULL AS STRING)", at, "s.a.dueno", "false")})"""
+    empty = "size(s.pila) = 0"
+
+    def level(k: str = "s.a.k", m: str = "s.a.m", head: str = "s.a.cabeza", start: str = "s.a.ini", owner: str = "s.a.dueno", rec: str = "s.a.r") -> str:
+        return f"named_struct('k', {k}, 'm', {m}, 'cabeza', {head}, 'ini', {start}, 'dueno', {owner}, 'r', {rec})"
+
+    def state(a: str = "s.a", pila: str = "s.pila", tras: str = "false", r: str = "s.r", f: str = "s.f") -> str:
+        return f"named_struct('pos', {at}, 'a', {a}, 'pila', {pila}, 'tras', {tras}, 'r', {r}, 'f', {f})"
+
+    def found(ctes: str = "s.f.ctes", refs: str = "s.f.refs", cola: str = "s.f.cola", cortes: str = "s.f.cortes", valido: str = "s.f.valido") -> str:
+        return f"named_struct('ctes', {ctes}, 'refs', {refs}, 'cola', {cola}, 'cortes', {cortes}, 'valido', {valido})"
+
+    ref = "named_struct('pos', s.pos + p.g, 'cabeza', p.s, 'dueno', s.a.dueno, 'niveles', concat(transform(s.pila, l -> l.ini), array(s.a.ini)))"
+    taken = found(
+        refs=f"IF(size(s.f.cola) >= {_RUN}, concat(s.f.refs, array(s.f.cola)), s.f.refs)",
+        cola=f"concat(IF(size(s.f.cola) >= {_RUN}, {_empty(_REF)}, s.f.cola), array({ref}))",
+    )
+    # Where a list begins or goes on, its next table stands in the sign or is expected behind it.
+    listed = f"IF(p.t, {state(level(m=repr('BEHIND')), f=taken)}, {state(level(m=repr('TABLE')))})"
+    nothing = f"IF(s.a.m = 'NONE', {state()}, {state(level(m=repr('NONE')))})"
     around = "element_at(s.pila, -1)"
     cte = f"""named_struct('ini', s.a.ini, 'fin', {at} - 1, 'cabeza', s.a.cabeza, 'profundidad', size(s.pila) - 1, 'nivel', {around}.ini,
                            'dueno', {around}.dueno, 'r', s.a.r)"""
-    ref = "named_struct('pos', s.pos + p.g, 'cabeza', p.s, 'dueno', s.a.dueno, 'niveles', concat(transform(s.pila, l -> l.ini), array(s.a.ini)))"
     # A clause grows to the end of each CTE, and over the comma before the next head.
-    grown = f"IF(p.k = ')', {at}, s.pos + p.g + 1)"
-    grows = "((p.k = ')' AND s.a.k = 'C' AND size(s.pila) = 1) OR (p.k = 'C' AND s.tras AND p.b AND size(s.pila) = 0))"
-    cut = f"""CASE WHEN p.k = 'W' AND size(s.pila) = 0 THEN concat(s.cortes, array(named_struct('ini', s.pos + p.g, 'fin', s.pos + p.g)))
-                   WHEN {grows} THEN concat(slice(s.cortes, 1, size(s.cortes) - 1), array(named_struct('ini', element_at(s.cortes, -1).ini, 'fin', {grown})))
-                   ELSE s.cortes END"""
-    step = f"""named_struct(
-        'pos', {at},
-        'a', CASE WHEN {opens} THEN {new} WHEN {closes} THEN {around} WHEN p.k IN (')', '-', '!') THEN s.a ELSE {kept} END,
-        'pila', CASE WHEN {opens} THEN concat(s.pila, array({outer})) WHEN {closes} THEN slice(s.pila, 1, size(s.pila) - 1) ELSE s.pila END,
-        'tras', {closes} AND s.a.k = 'C',
-        'r', CASE WHEN {head} AND p.k = 'W' THEN upper(left(p.s, 15)) = 'WITH RECURSIVE ' WHEN {closes} AND s.a.k = 'C' THEN s.a.r ELSE s.r END,
-        'ctes', IF({closes} AND s.a.k = 'C', concat(s.ctes, array({cte})), s.ctes),
-        'refs', IF({taken} AND size(s.cola) >= {_RUN}, concat(s.refs, array(s.cola)), s.refs),
-        'cola', IF({taken}, concat(IF(size(s.cola) >= {_RUN}, {_empty(_REF)}, s.cola), array({ref})), s.cola),
-        'cortes', {cut},
-        'valido', s.valido AND p.k <> '!' AND NOT (p.k = ')' AND size(s.pila) = 0))"""
-    start = f"""named_struct(
-        'pos', 0, 'a', {level("'P'", "'NONE'", "CAST(NULL AS STRING)", "0", "-1", "false")}, 'pila', {_empty(_LEVEL)}, 'tras', false, 'r', false,
-        'ctes', {_empty(_CTE)}, 'refs', {_empty(f'array<{_REF}>')}, 'cola', {_empty(_REF)},
-        'cortes', {_empty('struct<ini int, fin int>')}, 'valido', true)"""
-    last = "named_struct('ctes', s.ctes, 'refs', concat(flatten(s.refs), s.cola), 'cortes', s.cortes, 'valido', s.valido AND size(s.pila) = 0)"
+    grown = lambda to: f"concat(slice(s.f.cortes, 1, size(s.f.cortes) - 1), array(named_struct('ini', element_at(s.f.cortes, -1).ini, 'fin', {to})))"
+    shorter = "slice(s.pila, 1, size(s.pila) - 1)"
+    closed_cte = found(ctes=f"concat(s.f.ctes, array({cte}))", cortes=f"IF(size(s.pila) = 1, {grown(at)}, s.f.cortes)")
+    closing = f"""CASE WHEN {empty} THEN {state(f=found(valido="false"))} WHEN s.a.k = 'C' THEN {state(around, shorter, "true", "s.a.r", closed_cte)}
+                       ELSE {state(around, shorter)} END"""
+    # A bracket that stands directly where a table is expected opens a subquery or a bracketed join; what was expected is then behind it.
+    pushed = lambda outer: f"concat(s.pila, array({outer}))"
+    plain = lambda k, m: level(k, m, "CAST(NULL AS STRING)", at, "s.a.dueno", "false")
+    behind = pushed(level(m="'BEHIND'"))
+    opening = f"""CASE WHEN s.a.m <> 'TABLE' THEN {state(plain("'P'", "'NONE'"), pushed("s.a"))}
+                       WHEN NOT p.b THEN {state(plain("'P'", "'NONE'"), behind)}
+                       WHEN p.t THEN {state(plain("'P'", "'BEHIND'"), behind, f=taken)}
+                       ELSE {state(plain("'P'", "'TABLE'"), behind)} END"""
+    # A list of CTEs is recursive as a whole; the flag of its first head goes on to the next ones.
+    body = lambda rec: level("'C'", "'NONE'", "p.s", at, at, rec)
+    recursive = "(upper(left(p.s, 15)) = 'WITH RECURSIVE ')"
+    first_cut = found(cortes="concat(s.f.cortes, array(named_struct('ini', s.pos + p.g, 'fin', s.pos + p.g)))")
+    step = f"""CASE
+        WHEN p.k = ',' THEN IF(s.a.m = 'BEHIND', {listed}, {state()})
+        WHEN p.k = ')' THEN {closing}
+        WHEN p.k = '(' THEN {opening}
+        WHEN p.k = 'N' THEN {nothing}
+        WHEN p.k = 'S' THEN IF(s.a.k = 'X', {state(level("'P'", "'NONE'"))}, {nothing})
+        WHEN p.k = 'L' THEN IF(s.a.k = 'X', {state()}, {listed})
+        WHEN p.k = 'X' THEN {state(plain("'X'", "'NONE'"), pushed(level(m="IF(s.a.m = 'TABLE', 'BEHIND', s.a.m)")))}
+        WHEN p.k = 'W' THEN {state(body(recursive), pushed("s.a"), r=recursive, f=f"IF({empty}, {first_cut}, s.f)")}
+        WHEN p.k = 'C' THEN IF(s.tras AND p.b, {state(body("s.r"), pushed("s.a"), f=f"IF({empty}, {found(cortes=grown('s.pos + p.g + 1'))}, s.f)")},
+                                               {state(plain("'P'", "'NONE'"), pushed("s.a"))})
+        WHEN p.k = 'U' THEN {state(level(m="'BEHIND'"), f=f"IF(p.t, {taken}, s.f)")}
+        WHEN p.k = 'T' THEN {state(level(m="'NONE'"), f=f"IF(p.t, {taken}, s.f)")}
+        WHEN p.k = '!' THEN {state(f=found(valido="false"))}
+        ELSE {state()} END"""
+    nothing_found = f"""named_struct('ctes', {_empty(_CTE)}, 'refs', {_empty(f'array<{_REF}>')}, 'cola', {_empty(_REF)},
+                                     'cortes', {_empty('struct<ini int, fin int>')}, 'valido', true)"""
+    start = f"""named_struct('pos', 0, 'a', {level("'P'", "'NONE'", "CAST(NULL AS STRING)", "0", "-1", "false")}, 'pila', {_empty(_LEVEL)},
+                             'tras', false, 'r', false, 'f', {nothing_found})"""
+    last = "named_struct('ctes', s.f.ctes, 'refs', concat(flatten(s.f.refs), s.f.cola), 'cortes', s.f.cortes, 'valido', s.f.valido AND size(s.pila) = 0)"
     fold = f"aggregate({pieces_column}, {start}, (s, p) -> {step}, s -> {last})"
     for name, code in _CODES.items():  # numbers are compared faster than letters
         fold = fold.replace(f"'{name}'", str(code))
