@@ -7,6 +7,7 @@ import io
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -715,6 +716,24 @@ def test_unlinked_windows_meet_in_all_blocks(spark, monkeypatch):
     test_a_first_document_with_a_part_of_a_passage_hides_no_copies(spark)
 
 
+def test_a_worker_holds_little_for_long_batches():
+    texts = pa.array(["word" * 3 + f" {i} and others of a text " * 40 for i in range(8000)])
+    list(word_slices(texts.slice(0, 10)))
+    tracemalloc.start()
+    for _ in word_slices(texts):
+        pass
+    most, held = tracemalloc.get_traced_memory()[::-1]
+    tracemalloc.stop()
+    assert most < 40e6 and held < 20e6
+
+
+def test_slices_of_any_size_have_the_same_words():
+    rng = random.Random(3)
+    texts = pa.array([None, "", *[" ".join(words(rng, rng.randint(1, 4000))) for _ in range(30)]])
+    want, got = (np.concatenate([x[2] for x in word_slices(texts, size)]) for size in (1 << 21, 1 << 12))
+    assert (want == got).all()
+
+
 def test_windows_linked_over_others_hang_together():
     rng = np.random.default_rng(5)
     new = lambda n: rng.integers(-(1 << 31), 1 << 31, n).astype(np.int32)
