@@ -23,7 +23,7 @@ ignored by ``near_duplicates`` and kept by ``keep_one``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,7 +38,8 @@ from saldoflow.llm.words import mix, shingle_slices
 SKETCH, LISTED, RUN = 64, 42, 3
 SHORT_LIST = 8
 LOOSE = 35  # per cent
-BLOCK_SETS, BLOCK_SHINGLES, COLUMNS = 1024, 1 << 20, 4096
+# A task holds two blocks: at most about 70 MB, besides sets that are larger than a block.
+BLOCK_SETS, BLOCK_SHINGLES, COLUMNS, ROWS = 512, 1 << 18, 1024, 128
 LEAST_SIMILARITY = 85  # per cent
 
 _SIGNATURE = "doc_id long, n_shingles long, sid binary, sketch array<long>, place long"
@@ -166,6 +167,14 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return common
 
 
+def _by_rows(n: int, judge: Callable[[slice], np.ndarray]) -> np.ndarray:
+    """A matrix of truth values, made from a few rows at a time."""
+    out = np.empty((n, n), dtype=bool)
+    for low in range(0, n, ROWS):
+        out[low : low + ROWS] = judge(slice(low, low + ROWS))
+    return out
+
+
 def _links_in_blocks(threshold: int):
     """The links among full sets, as a spanning forest."""
 
@@ -174,7 +183,7 @@ def _links_in_blocks(threshold: int):
         sets = [np.asarray(x, dtype=np.int64) for x in group["shingles"]]
         sizes = np.array([len(x) for x in sets])
         common = _common(sets)
-        linked = common * 100 >= (sizes[:, None] + sizes[None, :] - common) * threshold
+        linked = _by_rows(len(sets), lambda r: common[r] * 100 >= (sizes[r, None] + sizes[None, :] - common[r]) * threshold)
         np.fill_diagonal(linked, False)
         sids = group["sid"].tolist()
         return pd.DataFrame([(sids[i], sids[j]) for i, j in _forest(linked)], columns=["a", "b"])
@@ -190,8 +199,8 @@ def _candidates_in_blocks(threshold: int):
         group = group.drop_duplicates("sid").sort_values("sid")
         sets = [np.asarray(x, dtype=np.int64) for x in group["sketch"]]
         sizes = np.minimum([len(x) for x in sets], SKETCH)
-        needed = np.minimum(least, np.minimum(sizes[:, None], sizes[None, :]) * (threshold / 100))
-        found = _common(sets) >= needed
+        common = _common(sets)
+        found = _by_rows(len(sets), lambda r: common[r] >= np.minimum(least, np.minimum(sizes[r, None], sizes[None, :]) * (threshold / 100)))
         for name in ("root", "cluster"):
             code = pd.factorize(group[name])[0]
             found &= code[:, None] != code[None, :]
