@@ -12,6 +12,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -716,6 +717,19 @@ def test_unlinked_windows_meet_in_all_blocks(spark, monkeypatch):
     test_a_first_document_with_a_part_of_a_passage_hides_no_copies(spark)
 
 
+def test_a_task_holds_little_for_two_blocks_of_near_copies():
+    rng = np.random.default_rng(2)
+    n, size = 2 * minhash.BLOCK_SETS, minhash.BLOCK_SHINGLES // minhash.BLOCK_SETS
+    most = rng.integers(0, 1 << 62, size)
+    sets = [np.unique(np.concatenate([most[4:], rng.integers(0, 1 << 62, 4)])) for _ in range(n)]
+    group = pd.DataFrame({"sid": [i.to_bytes(16, "big") for i in range(n)], "shingles": sets})
+    tracemalloc.start()
+    links = minhash._links_in_blocks(85)(group)
+    most_held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(links) == n - 1 and most_held < 90e6
+
+
 def test_a_worker_holds_little_for_long_batches():
     texts = pa.array(["word" * 3 + f" {i} and others of a text " * 40 for i in range(8000)])
     list(word_slices(texts.slice(0, 10)))
@@ -762,6 +776,44 @@ def test_a_link_to_the_first_document_hides_no_other_link(spark):
     assert {(r.doc_id, r.class_id) for r in passages.classes(found).collect()} == {(i, i - i % 3) for i in range(450)}
 
 
+def test_text_of_a_repeated_line_is_compared_once(spark):
+    rng = random.Random(41)
+    tail = words(rng, 40)
+    rows = [(i, " ".join(words(rng, 60) + ["la"] * (300 + 50 * i) + words(rng, 60))) for i in range(5)]
+    # The end of the repeated word with a tail, also after fewer words, and a line of several words at other places of its period.
+    rows += [(10 + i, " ".join(["la"] * n + tail + words(rng, 60))) for i, n in enumerate((500, 30, 200))]
+    line = words(rng, 12)
+    rows += [(20 + i, " ".join(words(rng, 20) + (line * 40)[5 * i :] + words(rng, 70))) for i in range(4)]
+    found = passages.repeated_passages(documents(spark, rows)).cache()
+    assert {(r.doc_id, r.class_id) for r in passages.classes(found).collect()} == {(i, 0) for i in (*range(5), 10, 11, 12)} | {(i, 20) for i in range(20, 24)}
+    got, held = found.collect(), {k: t.split() for k, t in rows}
+    assert len(got) <= 200
+    for r in got:
+        own, other = held[r.doc_id][r.start_word : r.stop_word], held[r.other_doc_id][r.other_start_word : r.other_stop_word]
+        x, y = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (own, other))
+        assert len(own) >= 50 and len(x & y) >= 0.8 * len(x | y)
+    for i, (k, n) in enumerate(((10, 500), (11, 30), (12, 200))):
+        assert i == 0 or any(r.doc_id == k and r.other_doc_id in (10, 11) and r.stop_word >= n + 40 for r in got)
+
+
+def test_windows_of_a_repeated_shingle_are_one():
+    texts = pa.array([" ".join(["la"] * 900), " ".join(f"w{i}" for i in range(900))])
+    (grams, ends), = [(x[2], x[4]) for x in passages._sequences(texts)]
+    name, c, l, r = passages._named(grams, ends)  # noqa: E741
+    _, text, first, last, low, high, reach = passages._chains(name, (c >= 896).astype(int), c, l, r)
+    assert (text == 0).sum() <= 6 < (c < 896).sum() and (text == 1).sum() == (c >= 896).sum()
+    for k in np.flatnonzero(text == 1):
+        assert first[k] == last[k] and reach[k] == first[k] - low[k] and low[k] <= first[k] <= high[k]
+
+
+def test_fewest_different_values_of_a_run():
+    rng = np.random.default_rng(9)
+    for n, kinds in ((30, 5), (46, 9), (91, 3), (200, 60), (91, 10**9)):
+        grams = rng.integers(0, kinds, n).astype(np.int32)
+        runs = [len(np.unique(grams[k : k + passages.WIDTH])) for k in range(n - passages.WIDTH + 1)]
+        assert passages._fewest(grams) == min(runs, default=passages.WIDTH)
+
+
 def test_an_interval_inside_a_longer_one_is_left_out_only_if_a_passage_covers_it(spark):
     spans = spark.createDataFrame([(9, 2, 0, 0, 60), (9, 3, 0, 40, 60), (9, 4, 0, 40, 60)], passages._MET)
     found = spark.createDataFrame([(9, 1, 30, 84, 30, 84, 1.0), (3, 1, 0, 54, 30, 84, 1.0), (2, 1, 0, 54, 30, 84, 1.0)], passages._PASSAGE)
