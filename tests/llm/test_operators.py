@@ -762,6 +762,42 @@ def test_windows_linked_over_others_hang_together():
             assert {x[:2] for x in links} == {(max(middle, k), min(middle, k)) for k in (1, 2, 3) if k != middle}
 
 
+def test_only_windows_that_can_be_linked_are_compared(monkeypatch):
+    """Windows that share much, but less than a passage, are told apart for many pairs at once; the links are those of comparing every pair."""
+    rng = np.random.default_rng(8)
+    new = lambda n, kinds=1 << 31: rng.integers(-kinds, kinds, n).astype(np.int32)
+    shared = new(41)
+    groups = [[np.concatenate([new(25), shared, new(25)]) for _ in range(30)]]
+    for kinds in (1 << 31, 20):
+        for n in (2, 3, 9, 30):
+            first = new(91, kinds)
+            edited = [np.where(rng.random(91) < share, new(91, kinds), first) for share in rng.choice([0.02, 0.08, 0.15, 0.5], n - 1)]
+            groups.append([first, *[np.roll(x, k) for x, k in zip(edited, rng.integers(-30, 30, n - 1), strict=True)]])
+    ids = np.concatenate([np.sort(rng.integers(0, max(2, len(x) - 1), len(x))) for x in groups])
+    open_ = np.concatenate([rng.random(len(x)) < 0.8 for x in groups])
+    bounds = np.cumsum([0, *[len(x) for x in groups]]).tolist()
+    zero, place = np.zeros(len(ids), dtype=np.int32), np.full(len(ids), 45, dtype=np.int32)
+    grams, compared = [x for y in groups for x in y], []
+    columns = [zero.astype(np.int64), zero, zero, ids, place, zero, zero + 90, zero, open_, place, place]
+    table = pa.table([*[pa.array(x) for x in columns], pa.array([x.tolist() for x in grams], pa.list_(pa.int32()))], names=[str(i) for i in range(12)])
+    plain = passages.passages_in
+    monkeypatch.setattr(passages, "passages_in", lambda a, b, order=None: compared.append((a, b)) or plain(a, b, order))
+    got = {}
+    for at_once in (1 << 18, 1):
+        monkeypatch.setattr(passages, "MET_AT_ONCE", at_once)
+        got[at_once] = passages._links_of_runs(table, bounds[:-1] + bounds[-1:]).to_pylist()
+        of_first = [x for x in compared if any(x[0] is g or np.array_equal(x[0], g) for g in groups[0])]
+        assert not of_first and len(compared) >= len(got[at_once])
+        compared.clear()
+    want = []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        every = [[j for j in range(b - a) if ids[a + j] != ids[a + i]] for i in range(b - a)]
+        want += passages._forest(ids[a:b], place[a:b], zero[a:b], zero[a:b] + 90, zero[a:b], open_[a:b], grams[a:b], place[a:b], place[a:b], every)
+    assert len(want) > 10
+    for links in got.values():
+        assert [tuple(x.values()) for x in links] == [tuple(x) for x in want]
+
+
 def test_a_link_to_the_first_document_hides_no_other_link(spark):
     rng = random.Random(17)
     rows, planted = [], set()
