@@ -40,6 +40,15 @@ _WORDS = (
 _WORD_HERE = rf"(?:(?:{_LISTS}|USING|{_TARGETS}|SELECT|WITH|{_ENDS}|{_SKIPPED})(?!{_LETTER})|(?:{_CALLS}) ?\()"
 _GAP = rf"(?:[^()'\"`,;\p{{L}}\p{{N}}_$.@#]++|(?!{_WORD_HERE}){_LETTER}++|{STRING_LITERAL}|{QUOTED_NAME}|{BACKQUOTED})*+"
 _PIECE = rf"(?i)({_GAP})({_WITH_HEAD}|{_NEXT_HEAD}|{_WORDS}|, ?(?:{_SOURCE})?|\( ?(?:{_SOURCE})?|[);'\"`]|\z)"
+# For the CTEs alone only their heads, brackets and stray quotes end a piece. What else ``_PIECE`` finds is stepped over in the same order.
+_OTHER = (
+    rf"(?:(?:{_SKIPPED}|SELECT|{_ENDS})(?!{_LETTER})|(?!{_WITH_HEAD})WITH(?!{_LETTER})"
+    rf"|(?:{_LISTS}|USING)(?!{_LETTER})(?: ?{_SOURCE})?|(?:{_TARGETS})(?!{_LETTER})(?: {_EXISTS}{_CHAIN})?"
+    rf"|(?!{_NEXT_HEAD}), ?(?:{_SOURCE})?|;)"
+)
+_FIRST_LETTERS = "".join(sorted({word[0] for words in (_LISTS, _TARGETS, _ENDS, _CALLS, _SKIPPED, "USING|SELECT|WITH") for word in words.split("|")}))
+_ITEM = rf"[^()'\"`,;\p{{L}}\p{{N}}_$.@#]++|(?!(?=[{_FIRST_LETTERS}]){_WORD_HERE}){_LETTER}++|{STRING_LITERAL}|{QUOTED_NAME}|{BACKQUOTED}"
+_CTE_PIECE = rf"(?i)((?:{_ITEM}|{_OTHER})*+)({_WITH_HEAD}|{_NEXT_HEAD}|(?:{_CALLS}) ?\(|\( ?(?:{_SOURCE})?|[)'\"`]|\z)"
 _HEAD_NAME = rf"(?i)^(?:WITH (?:RECURSIVE )?|, ?)({_NAME})"
 _TABLE = rf"(?i)^(?:(?:{_LISTS}|USING|{_TARGETS})(?: {_EXISTS})?|[,(]) ?{_BEFORE}({_CHAIN})"
 
@@ -214,6 +223,60 @@ def structure(pieces_column: str) -> Column:
     return F.transform(F.array(found), named)[0]
 
 
+def cte_pieces(clean: Column) -> Column:
+    """Like ``pieces``, cut only where a CTE or a bracket begins or ends, and at stray quotes; ``k`` is W, C, a bracket, ! or -."""
+    marked = F.split(F.regexp_replace(clean, F.lit(_CTE_PIECE), F.lit("$1\t$2\n")), "\n", -1)
+
+    def cut(piece: Column) -> Column:
+        blank = piece.startswith("\t") | piece.startswith(" \t")
+        return F.struct(F.substring_index(piece, "\t", -1).alias("s"), F.greatest(F.char_length(piece) - 1, F.lit(0)).alias("n"), blank.alias("b"))
+
+    def with_kind(p: Column) -> Column:
+        first = F.left(p["s"], F.lit(1))
+        code = lambda name: F.lit(_CODES[name])
+        kind = F.when(first == ")", code(")")).when(first == "(", code("(")).when(first == ",", code("C")).when(first == "", code("-")).when(first.isin("W", "w"), code("W"))
+        return F.struct(p["s"], p["n"], p["b"], kind.when(first.isin("'", '"', "`"), code("!")).otherwise(code("(")).alias("k"))  # else a call
+
+    return F.transform(F.transform(marked, cut), with_kind)
+
+
+def cte_structure(pieces_column: str) -> Column:
+    """``struct<ctes, cortes, valido>`` of a column of ``cte_pieces``: what ``structure`` says of them; of a CTE its name, place and depth.
+
+    A level of the stack is the start of a CTE's body with its head, or null for another bracket.
+    """
+    at, start, empty = "(s.pos + p.n)", "(s.pos + p.n - char_length(p.s))", "size(s.pila) = 0"
+
+    def state(pila: str = "s.pila", tras: str = "false", ctes: str = "s.ctes", cortes: str = "s.cortes", valido: str = "s.valido") -> str:
+        return f"named_struct('pos', {at}, 'pila', {pila}, 'tras', {tras}, 'ctes', {ctes}, 'cortes', {cortes}, 'valido', {valido})"
+
+    grown = lambda to: f"concat(slice(s.cortes, 1, size(s.cortes) - 1), array(named_struct('ini', element_at(s.cortes, -1).ini, 'fin', {to})))"
+    level = "struct<ini int, cabeza string>"
+    pushed = lambda what: f"concat(s.pila, array({what}))"
+    shorter, inner = "slice(s.pila, 1, size(s.pila) - 1)", "element_at(s.pila, -1)"
+    plain, body = pushed(f"CAST(NULL AS {level})"), pushed(f"named_struct('ini', {at}, 'cabeza', p.s)")
+    cte = f"named_struct('ini', {inner}.ini, 'fin', {at} - 1, 'cabeza', {inner}.cabeza, 'profundidad', size(s.pila) - 1)"
+    closed = state(shorter, "true", f"concat(s.ctes, array({cte}))", f"IF(size(s.pila) = 1, {grown(at)}, s.cortes)")
+    step = f"""CASE
+        WHEN p.k = '(' THEN {state(plain)}
+        WHEN p.k = ')' THEN CASE WHEN {empty} THEN {state(valido="false")} WHEN {inner} IS NULL THEN {state(shorter)} ELSE {closed} END
+        WHEN p.k = 'W' THEN {state(body, cortes=f"IF({empty}, concat(s.cortes, array(named_struct('ini', {start}, 'fin', {start}))), s.cortes)")}
+        WHEN p.k = 'C' THEN IF(s.tras AND p.b, {state(body, cortes=f"IF({empty}, {grown(start + ' + 1')}, s.cortes)")}, {state(plain)})
+        WHEN p.k = '!' THEN {state(valido="false")}
+        ELSE {state()} END"""
+    nothing = f"""named_struct('pos', 0, 'pila', {_empty(level)}, 'tras', false, 'ctes', {_empty('struct<ini int, fin int, cabeza string, profundidad int>')},
+                               'cortes', {_empty('struct<ini int, fin int>')}, 'valido', true)"""
+    fold = f"aggregate({pieces_column}, {nothing}, (s, p) -> {step}, s -> named_struct('ctes', s.ctes, 'cortes', s.cortes, 'valido', s.valido AND size(s.pila) = 0))"
+    for name in "()WC!":
+        fold = fold.replace(f"p.k = '{name}'", f"p.k = {_CODES[name]}")
+
+    def named(c: Column) -> Column:
+        return F.struct(c["ini"].alias("ini"), c["fin"].alias("fin"), c["profundidad"].alias("profundidad"), _bare(F.regexp_extract(c["cabeza"], _HEAD_NAME, 1)).alias("nombre"))
+
+    kept = lambda s: F.struct(F.transform(s["ctes"], named).alias("ctes"), s["cortes"].alias("cortes"), s["valido"].alias("valido"))
+    return F.transform(F.array(F.expr(fold)), kept)[0]
+
+
 def meant(ref: Column, ctes: Column) -> Column:
     """The CTE (its ``ini``) that a name without a schema means: the innermost one visible there, which is the last that closed before it in
     an open bracket, or a recursive one that is still open; null for none."""

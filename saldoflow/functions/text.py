@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 LINE_COMMENT = r"--[^\n]*+"
 BLOCK_COMMENT = r"(?s)/\*.*?\*/"
 # The first class only lets letters, digits and signs fail early.
-BLANKS = r"[\x09-\x20\x85-\u3000&&[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]+"
+_BLANK = r"[\x09-\x20\x85-\u3000&&[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+# Runs of blanks that are not one space already.
+BLANKS = rf"(?:(?! ){_BLANK}| (?={_BLANK})){_BLANK}*+"
 STRING_LITERAL = r"'[^']*+(?:''[^']*+)*+'"
 QUOTED_NAME = r'"[^"]*+(?:""[^"]*+)*+"'
 _WORD = r"[\p{L}\p{N}_.$]"
 _DATE_CANDIDATE = rf"{STRING_LITERAL}|{QUOTED_NAME}|\d{{8}}(?<!{_WORD}\d{{8}})(?!{_WORD})"
-_DATE_SPELLING = rf"'\d{{4}}-\d{{2}}-\d{{2}}'|(?<!{_WORD})(?:\d{{4}}-\d{{2}}-\d{{2}}|\d{{8}})(?!{_WORD})"
+_DATE_SPELLING = rf"'\d{{4}}-\d{{2}}-\d{{2}}'|(?:\d{{4}}-\d{{2}}-\d{{2}}(?<!{_WORD}.{{10}})|\d{{8}}(?<!{_WORD}.{{8}}))(?!{_WORD})"
 _DATE_TOKEN = r"^(?:'(?:\d{4}-\d{2}-\d{2}|\d{8})'|\d{8})$"
 # Markers put in the place of the dominant date.
 ISO_MARKER = "{fecha_corte_iso}"
@@ -86,23 +88,34 @@ def parameterised(clean: Column, literals: Column, date: Column) -> Column:
     All dates are found by one fixed pattern and compared with the row's own, so no pattern is made for a row.
     """
     iso, compact = F.date_format(date, "yyyy-MM-dd"), F.date_format(date, "yyyyMMdd")
-    iso_here = F.when(F.exists(literals, lambda d: d["literal"] == iso), iso)
-    compact_here = F.when(F.exists(literals, lambda d: d["literal"] == compact), compact)
+    # Spark evaluates what a step of ``transform`` names anew for each element, so the spellings are made once for a row and bound by a name.
+    spelt = F.array(F.struct(iso.alias("iso"), F.concat(F.lit("'"), iso, F.lit("'")).alias("quoted"), compact.alias("compact")))
+
+    def here(s: Column) -> Column:
+        kinds = [F.when(F.exists(literals, lambda d: d["literal"] == s[kind]), s[name]).alias(name) for name, kind in (("iso", "iso"), ("quoted", "iso"), ("compact", "compact"))]
+        return F.struct(*kinds)
 
     def woven(text: Column, pattern: str, change) -> Column:
-        """The text with every hit of a pattern changed."""
-        between, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-        rest = F.zip_with(hits, F.slice(between, 2, F.size(hits)), lambda hit, piece: F.concat(change(hit), piece))
-        return F.concat(F.get(between, F.lit(0)), F.array_join(rest, ""))
-
-    def marker(hit: Column) -> Column:
-        is_iso = (hit == iso_here) | (hit == F.concat(F.lit("'"), iso_here, F.lit("'")))
-        return F.when(is_iso, ISO_MARKER).when(hit == compact_here, COMPACT_MARKER).otherwise(hit)
-
-    # Only a text with a double quote can hold a quoted name; there literals, which may hold a quote too, are stepped over one by one.
-    stepped = woven(
-        clean,
-        rf"{STRING_LITERAL}|{QUOTED_NAME}|{_DATE_SPELLING}",
-        lambda hit: F.when(hit.startswith('"'), hit).otherwise(woven(hit, _DATE_SPELLING, marker)),
-    )
-    return F.when(clean.contains('"'), stepped).otherwise(woven(clean, _DATE_SPELLING, marker))
+        """The text with every hit of a pattern changed. A clean text holds no tabs and line feeds, so they can mark the hits."""
+
+        def piece(part: Column, i: Column) -> Column:
+            hit = F.substring_index(part, "\t", 1)
+            return F.when(i == 0, part).otherwise(F.concat(change(hit), F.substring_index(part, "\t", -1)))
+
+        return F.array_join(F.transform(F.split(F.regexp_replace(text, F.lit(pattern), F.lit("\n$0\t")), "\n", -1), piece), "")
+
+    def written(s: Column) -> Column:
+        def marker(hit: Column) -> Column:
+            is_iso = (hit == s["iso"]) | (hit == s["quoted"])
+            return F.when(is_iso, ISO_MARKER).when(hit == s["compact"], COMPACT_MARKER).otherwise(hit)
+
+        # Only a text with a double quote can hold a quoted name; there literals, which may hold a quote too, are stepped over one by one.
+        stepped = woven(
+            clean,
+            rf"{STRING_LITERAL}|{QUOTED_NAME}|{_DATE_SPELLING}",
+            lambda hit: F.when(hit.startswith('"'), hit).otherwise(woven(hit, _DATE_SPELLING, marker)),
+        )
+        return F.when(clean.contains('"'), stepped).otherwise(woven(clean, _DATE_SPELLING, marker))
+
+    # Without a date nothing changes.
+    return F.when(date.isNull(), clean).otherwise(F.transform(F.transform(spelt, here), written)[0])

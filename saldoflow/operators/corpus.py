@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saldoflow.functions.statements import meant, name_parts, pieces, structure
+from saldoflow.functions.statements import cte_pieces, cte_structure, meant, name_parts, pieces, structure
 from saldoflow.functions.text import COMPACT_MARKER, ISO_MARKER, clean_sql, date_literals, dominant_date, parameterised
 
 # What an unlisted source is taken for, and the catalog of listed ones.
@@ -122,8 +122,8 @@ def parameterise(corpus: DataFrame, key: str = "query_id", text: str = "sql_text
     return found.select(key, "fecha_dominante", F.coalesce(marked, "sql_limpio").alias("sql_parametrizado"))
 
 
-def _parts() -> Column:
-    """CTEs in order of their bodies, then the statement without its WITH clauses, each with the names found in it.
+def _parts(with_names: bool = True) -> Column:
+    """CTEs in order of their bodies, then the statement without its WITH clauses, each with the names found in it if they are asked for.
 
     An expression over a structured frame; it goes into a generator as it is, because a filter inferred from a generated column would
     be pushed down with a copy of the whole extraction.
@@ -139,6 +139,9 @@ def _parts() -> Column:
     rest = F.when(F.size(cuts) == 0, text).otherwise(F.trim(F.array_join(F.transform(ends, outside), " ")))
     in_cuts = lambda n: F.exists(cuts, lambda c: (n["pos"] >= c["ini"]) & (n["pos"] < c["fin"]))
 
+    def names(standing) -> list[Column]:
+        return [F.filter("nombres", standing).alias("nombres")] if with_names else []
+
     def body(cte: Column) -> Column:
         return F.struct(
             cte["ini"].alias("ini"),
@@ -147,7 +150,7 @@ def _parts() -> Column:
             F.lit(False).alias("es_final"),
             F.trim(F.substring(text, cte["ini"] + 1, cte["fin"] - cte["ini"])).alias("cuerpo"),
             cte["profundidad"].alias("profundidad"),
-            F.filter("nombres", lambda n: (n["pos"] >= cte["ini"]) & (n["pos"] < cte["fin"])).alias("nombres"),
+            *names(lambda n: (n["pos"] >= cte["ini"]) & (n["pos"] < cte["fin"])),
         )
 
     final = F.struct(
@@ -157,13 +160,15 @@ def _parts() -> Column:
         F.lit(True).alias("es_final"),
         rest.alias("cuerpo"),
         F.lit(0).alias("profundidad"),
-        F.filter("nombres", lambda n: ~in_cuts(n)).alias("nombres"),
+        *names(lambda n: ~in_cuts(n)),
     )
     return F.concat(F.transform(F.array_sort("forma.ctes"), body), F.array(final))
 
 
 def _query_parts(cleaned: DataFrame, key: str, text: str) -> DataFrame:
-    rows = _structured(cleaned, key, text).select(key, F.col("forma.valido").alias("valido"), F.posexplode(_parts()).alias("pos", "parte"))
+    cut = cleaned.select(key, F.col(text).alias("texto"), cte_pieces(F.col(text)).alias("piezas"))
+    formed = cut.select(key, "texto", cte_structure("piezas").alias("forma"))
+    rows = formed.select(key, F.col("forma.valido").alias("valido"), F.posexplode(_parts(with_names=False)).alias("pos", "parte"))
     return rows.select(key, (F.col("pos") + 1).alias("posicion"), "parte.nombre", "parte.es_final", "parte.cuerpo", "parte.profundidad", "valido")
 
 
