@@ -16,6 +16,7 @@ from saldoflow.operators.segments import SEGMENTS
 # Holidays of the derived calendar, month-day.
 HOLIDAYS = ("01-01", "05-01", "07-20", "08-07", "12-08", "12-25")
 DAYS_BEFORE, DAYS_AFTER = 15, 400
+TASKS_A_CORE = 4
 MEASURES = tuple(measure for _, measure, _ in SEGMENTS)
 
 
@@ -183,9 +184,13 @@ _CORPUS_TEXT = """
 
 
 def corpus(tables: Tables) -> DataFrame:
-    """A table of SQL texts with one to three CTEs, comments, literals and both date spellings."""
+    """A table of SQL texts with one to three CTEs, comments, literals and both date spellings.
+
+    Orders are a small table for the work their texts make, so they are dealt over all cores first, however few files or row groups they come in.
+    """
     columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    return tables.orders.sparkSession.sql(
+    orders = tables.orders.select(*columns)
+    return orders.sparkSession.sql(
         f"""
         WITH fechas AS (
           SELECT *, date_format(o_orderdate, 'yyyy-MM-dd') AS iso, date_format(o_orderdate, 'yyyyMMdd') AS compacta,
@@ -195,7 +200,7 @@ def corpus(tables: Tables) -> DataFrame:
         partes AS ({_CORPUS_PARTS}),
         textos AS ({_CORPUS_TEXT})
         SELECT query_id, sql_text FROM textos""",
-        orders=tables.orders.select(*columns),
+        orders=orders.repartition(TASKS_A_CORE * orders.sparkSession.sparkContext.defaultParallelism, *columns),
     )
 
 

@@ -19,8 +19,9 @@ BLANKS = rf"(?:(?! ){_BLANK}| (?={_BLANK})){_BLANK}*+"
 STRING_LITERAL = r"'[^']*+(?:''[^']*+)*+'"
 QUOTED_NAME = r'"[^"]*+(?:""[^"]*+)*+"'
 _WORD = r"[\p{L}\p{N}_.$]"
-_DATE_CANDIDATE = rf"{STRING_LITERAL}|{QUOTED_NAME}|\d{{8}}(?<!{_WORD}\d{{8}})(?!{_WORD})"
-_DATE_SPELLING = rf"'\d{{4}}-\d{{2}}-\d{{2}}'|(?:\d{{4}}-\d{{2}}-\d{{2}}(?<!{_WORD}.{{10}})|\d{{8}}(?<!{_WORD}.{{8}}))(?!{_WORD})"
+# What is ahead is looked at first, so most places fail at one sign.
+_DATE_CANDIDATE = rf"(?=['\"\d])(?:{STRING_LITERAL}|{QUOTED_NAME}|\d{{8}}(?<!{_WORD}\d{{8}})(?!{_WORD}))"
+_DATE_SPELLING = rf"(?=['\d])(?:'\d{{4}}-\d{{2}}-\d{{2}}'|(?:\d{{4}}-\d{{2}}-\d{{2}}(?<!{_WORD}.{{10}})|\d{{8}}(?<!{_WORD}.{{8}}))(?!{_WORD}))"
 _DATE_TOKEN = r"^(?:'(?:\d{4}-\d{2}-\d{2}|\d{8})'|\d{8})$"
 # Markers put in the place of the dominant date.
 ISO_MARKER = "{fecha_corte_iso}"

@@ -182,6 +182,49 @@ def test_lineage(spark):
     assert [(r["nombre"], r["nombre_completo"]) for r in rows] == [("a", "s.t"), ("a", "r.u"), (None, "z.w")]
 
 
+def test_parts_are_those_of_the_whole_structure(spark):
+    """CTEs are found without the tables; heads, brackets and valid texts are the same as with them, also in odd texts."""
+    import random
+
+    from saldoflow.functions import statements as st
+
+    rng = random.Random(11)
+    words = """WITH|WITH RECURSIVE|a AS (|b AS (|, c AS (|,|(|)|)|)|SELECT|FROM|JOIN|x.y|t|a.b.c|'it''s'|'|"q""w"|"|`k`|`|extract(|TRIM (|;|WHERE|AS|
+AS (|d(e, f) AS MATERIALIZED (|UPDATE|INTO|LATERAL VIEW explode(|DISTINCT FROM|USING|a . with x as (|from(|ñandú|=|1.5e3|TABLE|with|fromage""".replace("\n", "").split("|")
+    sql = ["".join(w + rng.choice(("", " ", " ")) for w in rng.choices(words, k=rng.randint(1, 40))) for _ in range(3000)]
+    df = ops.clean_queries(texts(spark, *sql, "", None)).select("sql_limpio", st.pieces(F.col("sql_limpio")).alias("todo"), st.cte_pieces(F.col("sql_limpio")).alias("ctes"))
+    rows = df.select(st.structure("todo").alias("a"), st.cte_structure("ctes").alias("b")).collect()
+    kept = ("ini", "fin", "profundidad", "nombre")
+    for a, b in rows:
+        assert (a["ctes"] is None) == (b["ctes"] is None)  # of a null text
+        assert [[c[k] for k in kept] for c in a["ctes"] or ()] == [[c[k] for k in kept] for c in b["ctes"] or ()]
+        assert (a["cortes"], a["valido"]) == (b["cortes"], b["valido"])
+    assert sum(bool(a["ctes"]) for a, _ in rows) > 50
+
+
+@pytest.mark.parametrize("op", (ops.query_ctes, ops.cte_parameters), ids=lambda op: op.__name__)
+def test_parts_alone_look_for_no_tables(spark, tmp_path, op):
+    texts(spark, "WITH a AS (SELECT '2025-11-07') SELECT 1 FROM a").write.parquet(str(tmp_path / "q"))
+    plan = op(spark.read.parquet(str(tmp_path / "q")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "cadena" not in plan and "niveles" not in plan
+
+
+def test_spellings_of_the_date_are_made_once_for_a_row(spark):
+    plan = ops.parameterise(texts(spark, "SELECT 20251107"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("date_format(") <= 3
+
+
+def test_texts_are_dealt_over_all_cores(spark, tmp_path):
+    """Orders in one file of one row group make texts in many tasks."""
+    from saldoflow.checks import shapes
+
+    rows = [(i, i, "O", dt.datetime(2025, 1, 1 + i % 28), "5-LOW") for i in range(500)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    df = shapes.corpus(shapes.Tables(spark, str(tmp_path)))
+    tasks = df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= spark.sparkContext.defaultParallelism and df.count() == 500
+
+
 def test_both_parameters_of_a_cte_are_found(spark):
     sql = "WITH a AS (SELECT 20251107, '2025-11-07'), b AS (SELECT 20251107) SELECT '2025-11-07', 20250101"
     rows = ops.cte_parameters(texts(spark, sql)).orderBy("posicion").collect()
